@@ -1,0 +1,79 @@
+"""Sketches of fixed size over whole tables: how often hashes occur, and which ids occur at all."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+
+from corpusloom.llm.shingles import mix
+
+#: Counters of the frequency sketch: 2^20, sent to the executors as 4 MB however many rows were counted.
+COUNT_BITS = 20
+#: Bits of the id filter: 2^24, which is 2 MB.
+FILTER_BITS = 24
+CHUNKS = 64
+SCHEMA = "chunk int, cells binary"
+
+
+def count_into(cells: np.ndarray, hashes: np.ndarray) -> None:
+    cells += np.bincount((hashes & np.uint64(len(cells) - 1)).astype(np.int64), minlength=len(cells)).astype(cells.dtype)
+
+
+def as_batch(cells: np.ndarray) -> pa.RecordBatch:
+    parts = np.split(cells, CHUNKS)
+    return pa.RecordBatch.from_arrays([pa.array(range(CHUNKS), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], names=["chunk", "cells"])
+
+
+def merged(partials: DataFrame, dtype: type, combine: Callable = np.add) -> np.ndarray:
+    """The cells of all partial sketches ``(chunk, cells)`` together.
+
+    Partials are merged as a stream, chunk by chunk, on the executors; what reaches the driver is one sketch, whose
+    size doesn't depend on the input.
+    """
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for chunk, cells in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                part = np.frombuffer(cells, dtype)
+                sums[chunk] = combine(sums[chunk], part) if chunk in sums else part.copy()
+        if sums:
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], names=["chunk", "cells"])
+
+    rows = partials.repartition(8, "chunk").mapInArrow(add_up, SCHEMA).collect()
+    if not rows:
+        return np.zeros(0, dtype)
+    return np.concatenate([np.frombuffer(r.cells, dtype) for r in sorted(rows, key=lambda r: r.chunk)])
+
+
+def _places(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    h = mix(ids.view(np.uint64))
+    mask = np.uint64((1 << FILTER_BITS) - 1)
+    return (h & mask).astype(np.int64), ((h >> np.uint64(32)) & mask).astype(np.int64)
+
+
+def id_filter(ids: DataFrame) -> np.ndarray:
+    """Packed bits for the ids (one long column). It may let others pass and never misses one; when very many ids
+    fill it, everything passes."""
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = None
+        for batch in batches:
+            if batch.num_rows:
+                bits = np.zeros(1 << FILTER_BITS, bool) if bits is None else bits
+                for at in _places(np.asarray(batch.column(0))):
+                    bits[at] = True
+        if bits is not None:
+            yield as_batch(np.packbits(bits))
+
+    bits = merged(ids.mapInArrow(mark, SCHEMA), np.uint8, np.bitwise_or)
+    return bits if len(bits) else np.zeros((1 << FILTER_BITS) // 8, np.uint8)
+
+
+def passes(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    a, b = _places(ids)
+    one = lambda at: (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1
+    return (one(a) & one(b)).astype(bool)
