@@ -146,7 +146,7 @@ def near_duplicates(records: DataFrame, id_col: str, text_col: str, k: int = 5,
     # sets that differ in at most d features agree on all but d of the signatures kept by either
     d = F.floor((na + nb) * ((1 - threshold) / (1 + threshold)) + _EPS)
     need = F.greatest(F.lit(1), F.least(pa_, pb) - d)
-    size_ok = (F.col("np_a") >= 0) & (F.least(na, nb) >= F.greatest(na, nb) * threshold - _EPS)
+    size_ok = F.least(na, nb) >= F.greatest(na, nb) * threshold - _EPS  # the same columns on both sides, so one exchange serves both
     matched = left.join(right, "sig").filter((F.col("a") < F.col("b")) & size_ok)
     found = matched.select("a", "b", need.cast("int").alias("need")).groupBy("a", "b").agg(F.count("*").alias("shared"), F.min("need").alias("need"))
     candidates = ws.table(found.filter("shared >= need").select("a", "b"), "candidates")
@@ -154,13 +154,43 @@ def near_duplicates(records: DataFrame, id_col: str, text_col: str, k: int = 5,
     return members, links
 
 
+_WORDS = 8  # parity words of a set
+
+
+def _with_parity(texts: DataFrame, k: int) -> DataFrame:
+    """Adds to ``(id, text)`` the size of the set and 512 parity bits: each feature flips one bit."""
+
+    def flip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = batch.column(1).to_pylist()
+            for a, b in chunks(found):
+                offsets, hashes = shingle_sets(found[a:b], k)
+                sizes = np.diff(offsets)
+                bit = np.repeat(np.arange(b - a), sizes) * (64 * _WORDS) + (hashes >> np.uint64(64 - 9)).astype(np.int64)
+                odd = (np.bincount(bit, minlength=(b - a) * 64 * _WORDS) & 1).astype(np.uint8)
+                parity = np.packbits(odd).view(np.int64).reshape(b - a, _WORDS)
+                part = batch.slice(a, b - a)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(sizes), *(pa.array(parity[:, i]) for i in range(_WORDS))], names=["id", "text", "n", *(f"w{i}" for i in range(_WORDS))])
+
+    return texts.mapInArrow(flip, "id long, text string, n long, " + ", ".join(f"w{i} long" for i in range(_WORDS)))
+
+
 def check_pairs(candidates: DataFrame, rows: DataFrame, k: int, threshold: float, ws: Workspace) -> DataFrame:
-    """Joins the texts of the candidates ``(a, b)`` to them and verifies; only texts that are needed are shuffled."""
+    """``(a, b, jaccard)`` of the candidates ``(a, b)`` that reach the threshold.
+
+    Sets that differ in d features differ in at most d parity bits, so those bits rule most candidates out before
+    any text is joined to them; what is left is verified on whole texts. Only texts that are needed are shuffled.
+    """
     spark = rows.sparkSession
     ids = candidates.select(F.explode(F.array("a", "b")).alias("id"))
     wanted = spark.sparkContext.broadcast(sketch.id_filter(ids))
-    texts = ws.table(only(rows, wanted, True).join(ids.distinct(), "id", "left_semi"), "texts")
-    pairs = candidates.join(texts.withColumnRenamed("id", "a").withColumnRenamed("text", "text_a"), "a").join(texts.withColumnRenamed("id", "b").withColumnRenamed("text", "text_b"), "b")
+    texts = ws.table(_with_parity(only(rows, wanted, True).join(ids.distinct(), "id", "left_semi"), k), "texts")
+    side = lambda x: texts.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), *(F.col(f"w{i}").alias(f"{x}{i}") for i in range(_WORDS)))
+    flipped = sum((F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}"))) for i in range(1, _WORDS)), F.bit_count(F.col("a0").bitwiseXOR(F.col("b0"))))
+    d = F.floor((F.col("n_a") + F.col("n_b")) * ((1 - threshold) / (1 + threshold)) + _EPS)
+    close = candidates.join(side("a"), "a").join(side("b"), "b").filter(flipped <= d).select("a", "b")
+    text = texts.select("id", "text")
+    pairs = close.join(text.toDF("a", "text_a"), "a").join(text.toDF("b", "text_b"), "b")
     return verified(pairs.select("a", "b", "text_a", "text_b"), k, threshold)
 
 
