@@ -7,6 +7,7 @@ size band share a signature; candidates are then verified exactly.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,14 +26,26 @@ _KEYS = ["k1", "k2", "n"]
 _N_SHIFT = 1 << 24
 
 
+_WORDS = 8  # longs of parity bits of a set
+_PARITY = [f"w{i}" for i in range(_WORDS)]
+
+
+def _parity(offsets: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """512 bits for each set; each feature flips one of them."""
+    sizes = np.diff(offsets)
+    bit = np.repeat(np.arange(len(sizes)), sizes) * (64 * _WORDS) + (hashes >> np.uint64(64 - 9)).astype(np.int64)
+    odd = (np.bincount(bit, minlength=len(sizes) * 64 * _WORDS) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64).reshape(len(sizes), _WORDS)
+
+
 def set_keys(rows: DataFrame, k: int, id_type: str = "long") -> DataFrame:
-    """``(id, k1, k2, n)`` for rows ``(id, text)`` that have a shingle, and the partial frequency sketches in ``(chunk, cells)``."""
+    """``(id, k1, k2, n)`` and parity bits for rows ``(id, text)`` that have a shingle, and the partial frequency sketches in ``(chunk, cells)``."""
 
     id_arrow = pa.int64() if id_type == "long" else pa.string()
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(1 << sketch.COUNT_BITS, np.uint32)
-        names = ["id", "k1", "k2", "n", "chunk", "cells"]
+        names = ["id", "k1", "k2", "n", *_PARITY, "chunk", "cells"]
         seen = False
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).to_pylist()
@@ -43,15 +56,16 @@ def set_keys(rows: DataFrame, k: int, id_type: str = "long") -> DataFrame:
                 have = np.flatnonzero(sizes)
                 seen |= len(have) > 0
                 keys = np.frombuffer(b"".join(set_key(hashes[offsets[i] : offsets[i + 1]]) for i in have), np.int64).reshape(-1, 2)
+                parity = _parity(offsets, hashes)[have]
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(a, b - a).take(pa.array(have)), pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(sizes[have]), pa.nulls(len(have), pa.int32()), pa.nulls(len(have), pa.binary())], names=names
+                    [ids.slice(a, b - a).take(pa.array(have)), pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(sizes[have]), *(pa.array(parity[:, i]) for i in range(_WORDS)), pa.nulls(len(have), pa.int32()), pa.nulls(len(have), pa.binary())], names=names
                 )
         if seen:
             part = sketch.as_batch(cells)
             none = pa.nulls(part.num_rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.nulls(part.num_rows, id_arrow), none, none, none, part.column(0), part.column(1)], names=names)
+            yield pa.RecordBatch.from_arrays([pa.nulls(part.num_rows, id_arrow), *[none] * (3 + _WORDS), part.column(0), part.column(1)], names=names)
 
-    return rows.mapInArrow(keyed, f"id {id_type}, k1 long, k2 long, n long, chunk int, cells binary")
+    return rows.mapInArrow(keyed, f"id {id_type}, k1 long, k2 long, n long, {', '.join(w + ' long' for w in _PARITY)}, chunk int, cells binary")
 
 
 def frequency_ranks(first: DataFrame):
@@ -149,48 +163,28 @@ def near_duplicates(records: DataFrame, id_col: str, text_col: str, k: int = 5,
     size_ok = F.least(na, nb) >= F.greatest(na, nb) * threshold - _EPS  # the same columns on both sides, so one exchange serves both
     matched = left.join(right, "sig").filter((F.col("a") < F.col("b")) & size_ok)
     found = matched.select("a", "b", need.cast("int").alias("need")).groupBy("a", "b").agg(F.count("*").alias("shared"), F.min("need").alias("need"))
-    candidates = ws.table(found.filter("shared >= need").select("a", "b"), "candidates")
-    links = ws.table(check_pairs(candidates, rows, k, threshold, ws), "pairs")
+    close = by_parity(found.filter("shared >= need").select("a", "b"), first.filter("chunk is null").select("id", "n", *_PARITY), threshold)
+    links = ws.table(check_pairs(ws.table(close, "candidates"), rows, k, threshold), "pairs")
     return members, links
 
 
-_WORDS = 8  # parity words of a set
-
-
-def _with_parity(texts: DataFrame, k: int) -> DataFrame:
-    """Adds to ``(id, text)`` the size of the set and 512 parity bits: each feature flips one bit."""
-
-    def flip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = batch.column(1).to_pylist()
-            for a, b in chunks(found):
-                offsets, hashes = shingle_sets(found[a:b], k)
-                sizes = np.diff(offsets)
-                bit = np.repeat(np.arange(b - a), sizes) * (64 * _WORDS) + (hashes >> np.uint64(64 - 9)).astype(np.int64)
-                odd = (np.bincount(bit, minlength=(b - a) * 64 * _WORDS) & 1).astype(np.uint8)
-                parity = np.packbits(odd).view(np.int64).reshape(b - a, _WORDS)
-                part = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(sizes), *(pa.array(parity[:, i]) for i in range(_WORDS))], names=["id", "text", "n", *(f"w{i}" for i in range(_WORDS))])
-
-    return texts.mapInArrow(flip, "id long, text string, n long, " + ", ".join(f"w{i} long" for i in range(_WORDS)))
+def by_parity(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """The pairs ``(a, b)`` that their parity bits don't rule out: sets that differ in d features differ in at most d bits."""
+    side = lambda x: sets.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), *(F.col(w).alias(f"{x}{w}") for w in _PARITY))
+    flipped = reduce(lambda x, y: x + y, [F.bit_count(F.col(f"a{w}").bitwiseXOR(F.col(f"b{w}"))) for w in _PARITY])
+    d = F.floor((F.col("n_a") + F.col("n_b")) * ((1 - threshold) / (1 + threshold)) + _EPS)
+    return pairs.join(side("a"), "a").join(side("b"), "b").filter(flipped <= d).select("a", "b")
 
 
-def check_pairs(candidates: DataFrame, rows: DataFrame, k: int, threshold: float, ws: Workspace) -> DataFrame:
-    """``(a, b, jaccard)`` of the candidates ``(a, b)`` that reach the threshold.
+def check_pairs(candidates: DataFrame, rows: DataFrame, k: int, threshold: float) -> DataFrame:
+    """``(a, b, jaccard)`` of the candidates ``(a, b)``, a written table, that reach the threshold on their whole texts.
 
-    Sets that differ in d features differ in at most d parity bits, so those bits rule most candidates out before
-    any text is joined to them; what is left is verified on whole texts. Only texts that are needed are shuffled.
+    A filter of fixed size keeps texts that no candidate needs from being shuffled.
     """
-    spark = rows.sparkSession
     ids = candidates.select(F.explode(F.array("a", "b")).alias("id"))
-    wanted = spark.sparkContext.broadcast(sketch.id_filter(ids))
-    texts = ws.table(_with_parity(only(rows, wanted, True).join(ids.distinct(), "id", "left_semi"), k), "texts")
-    side = lambda x: texts.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), *(F.col(f"w{i}").alias(f"{x}{i}") for i in range(_WORDS)))
-    flipped = sum((F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}"))) for i in range(1, _WORDS)), F.bit_count(F.col("a0").bitwiseXOR(F.col("b0"))))
-    d = F.floor((F.col("n_a") + F.col("n_b")) * ((1 - threshold) / (1 + threshold)) + _EPS)
-    close = candidates.join(side("a"), "a").join(side("b"), "b").filter(flipped <= d).select("a", "b")
-    text = texts.select("id", "text")
-    pairs = close.join(text.toDF("a", "text_a"), "a").join(text.toDF("b", "text_b"), "b")
+    wanted = rows.sparkSession.sparkContext.broadcast(sketch.id_filter(ids))
+    text = only(rows, wanted, True)
+    pairs = candidates.join(text.toDF("a", "text_a"), "a").join(text.toDF("b", "text_b"), "b")
     return verified(pairs.select("a", "b", "text_a", "text_b"), k, threshold)
 
 
