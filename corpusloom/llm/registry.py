@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import canonical, crosssplit, matches, neardup, representative
+from corpusloom.llm import canonical, crosssplit, groupsplit, matches, neardup, representative
 
 
 def queries() -> dict:
@@ -17,6 +17,8 @@ def queries() -> dict:
         "p4_groups": neardup.p4_groups,
         "p5_found": representative.p5_found,
         "p5_built": representative.p5_built,
+        "p6_found": groupsplit.p6_found,
+        "p6_splits": groupsplit.p6_splits,
     }
 
 
