@@ -26,7 +26,7 @@ EDIT_EVERY = 10
 #: An index term is a run of so many words.
 TERM_WORDS = 3
 #: Terms of one passage that must be found in place before it is verified.
-HITS = 3
+HITS = 6
 #: Test items are worked through in blocks of so many; each block passes over the corpus.
 BLOCK_ITEMS = 20_000
 _WORD = re.compile(r"[^\W_]+")
