@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import canonical, crosssplit, groupsplit, leaks, matches, neardup, representative
+from corpusloom.llm import canonical, crosssplit, groupsplit, language, leaks, matches, neardup, representative
 
 
 def queries() -> dict:
@@ -21,6 +21,9 @@ def queries() -> dict:
         "p6_splits": groupsplit.p6_splits,
         "p8_found": leaks.p8_found,
         "p8_report": leaks.p8_report,
+        "p9_found": language.p9_found,
+        "p9_segments": language.p9_segments,
+        "p9_documents": language.p9_documents,
     }
 
 
