@@ -202,22 +202,30 @@ class Scorer:
 
     def __init__(self, pieces: Pieces, probs: np.ndarray):
         self.pieces, self.probs = pieces, probs
-        self.seen: dict[str, np.ndarray] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.table = np.zeros((1024, self.probs.shape[1]))
+
+    def _learn(self, words: list[str]) -> None:
+        # a run of letters of any length is scored in parts, so the tables stay small
+        cut = [[w[k : k + 40] for k in range(0, len(w), 40)] for w in words]
+        logs = np.log(np.maximum(forward(self.pieces.arcs([c for cs in cut for c in cs]), self.probs)[1], 1e-300))
+        scores = np.add.reduceat(logs, np.cumsum([0, *map(len, cut)])[:-1])
+        n = len(self.place)
+        while len(self.table) < n + len(words):
+            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+        self.table[n : n + len(words)] = scores
+        self.place.update(zip(words, range(n, n + len(words))))
 
     def __call__(self, words: list[str]) -> np.ndarray:
-        if len(self.seen) > _CACHE_WORDS:
-            self.seen.clear()
-        new = [w for w in dict.fromkeys(words) if w not in self.seen]
+        if len(self.place) > _CACHE_WORDS:
+            self._forget()
+        new = [w for w in dict.fromkeys(words) if w not in self.place]
         for i in range(0, len(new), 20_000):
-            # a run of letters of any length is scored in parts, so the tables stay small
-            part = new[i : i + 20_000]
-            cut = [[w[k : k + 40] for k in range(0, len(w), 40)] for w in part]
-            flat = [c for cs in cut for c in cs]
-            logs = np.log(np.maximum(forward(self.pieces.arcs(flat), self.probs)[1], 1e-300))
-            starts = np.cumsum([0, *map(len, cut)])[:-1]
-            for w, v in zip(part, np.add.reduceat(logs, starts)):
-                self.seen[w] = v
-        return np.array([self.seen[w] for w in words]).reshape(-1, self.probs.shape[1])
+            self._learn(new[i : i + 20_000])
+        return self.table[np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))]
 
     def posteriors(self, found: list[list[str]]) -> np.ndarray:
         """Sentences x languages; an empty sentence is undecided."""
