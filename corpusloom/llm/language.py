@@ -38,7 +38,8 @@ _LEAD = re.compile(r"""^[\s>]*(?:(?:\#+|//+|[-*+•]|\d+[.)])\s+)?(?:[rRbBfFuU]?
 _TAG = re.compile(r"</?[A-Za-z][^<>]{0,200}>")
 _QUOTES = re.compile(r"\"\"\"|'''")
 _CODE_LINE = re.compile(r"^(?:```|\||import \w|from \S+ import\b|return\b|def \w|class \w+.*:\s*$|pip install|--\w|\[\d+/\d+\]|step \d+ loss|\w*(?:error|exception)\b\s*:|super\(|@\w|[A-Za-z]+_\w+\.\w+$)", re.I)
-_SYMBOL = re.compile(r"[=(){}\[\]|<>;\\^~]|\w_\w|\w\.\w")
+_NO_SYMBOLS = str.maketrans("", "", "=(){}[]|<>;\\^~")
+_JOINED = re.compile(r"\w_\w")
 
 
 def _lines(text: str) -> Iterator[tuple[int, str]]:
@@ -60,15 +61,17 @@ def _lines(text: str) -> Iterator[tuple[int, str]]:
         lead = _LEAD.match(stripped).end()
         body = stripped[lead:].rstrip()
         heading = line.lstrip().startswith("#") and not _END.search(body)
-        symbols, words = len(_SYMBOL.findall(body)), len(_LETTERS.findall(body))
+        symbols, words = len(body) - len(body.translate(_NO_SYMBOLS)), body.count(" ") + 1
+        if "_" in body:
+            symbols += len(_JOINED.findall(body))
         if heading or _CODE_LINE.match(body) or symbols * 5 > words:
             yield start, ""
         else:
             yield start + lead, body
 
 
-def sentences(text: str) -> list[tuple[int, int, str]]:
-    """``(start, end, sentence)`` for the full sentences of a text: what runs to a full stop, question mark or
+def sentences(text: str) -> list[tuple[int, int, list[str]]]:
+    """``(start, end, words)`` for the full sentences of a text: what runs to a full stop, question mark or
     exclamation mark over one or more lines of prose and has at least LEAST_WORDS words."""
     if "<" in text:
         text = _TAG.sub(lambda m: " " * len(m.group()), text)
@@ -86,8 +89,9 @@ def sentences(text: str) -> list[tuple[int, int, str]]:
             piece = line[pos : m.end()]
             whole = " ".join([*parts, piece])
             start = begin if parts else at + pos
-            if len(_LETTERS.findall(whole)) >= LEAST_WORDS:
-                out.append((start, at + m.end(), whole))
+            found = folded_words(whole)
+            if len(found) >= LEAST_WORDS:
+                out.append((start, at + m.end(), found))
             parts = []
             pos = m.end()
         rest = line[pos:].strip()
@@ -114,26 +118,31 @@ class Pieces:
             q = _MARK.sub("", unicodedata.normalize("NFKD", p)).casefold()
             if q and not (q.startswith("<") and q.endswith(">")):
                 folded.setdefault(q, len(folded) + 1)
-        self.ids = folded  # 0 is a letter outside the vocabulary
-        self.longest = max(map(len, folded))
+        self.size = len(folded) + 1  # 0 is a letter outside the vocabulary
+        # what only begins a piece has no number, so a search knows where to stop
+        self.ids = {q[:n]: -1 for q in folded for n in range(1, len(q))} | folded
 
     def __len__(self) -> int:
-        return len(self.ids) + 1
+        return self.size
 
     def arcs(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """``(word, start, end, piece)`` of every piece that fits somewhere, ordered by end, and the words' lengths."""
-        rows = []
+        rows: list[int] = []
         get = self.ids.get
         for n, w in enumerate(words):
             w = "▁" + w
             size = len(w)
             for i in range(size):
-                for j in range(i + 1, min(size, i + self.longest) + 1):
+                for j in range(i + 1, size + 1):
                     p = get(w[i:j])
-                    if p is not None:
-                        rows.append((n, i, j, p))
+                    if p is None:
+                        if j == i + 1:
+                            rows += (n, i, j, 0)
+                        break
+                    if p > 0:
+                        rows += (n, i, j, p)
                     elif j == i + 1:
-                        rows.append((n, i, j, 0))
+                        rows += (n, i, j, 0)
         table = np.array(rows, np.int64).reshape(-1, 4)
         table = table[np.lexsort((table[:, 0], table[:, 2]))]
         return table[:, 0], table[:, 1], table[:, 2], table[:, 3], np.array([len(w) + 1 for w in words])
@@ -267,7 +276,7 @@ def train(documents: DataFrame, label: Column, codes: list[str], folder: str = T
     share = F.create_map(*[F.lit(x) for kv in shares.items() for x in kv])[F.col("label")] if shares else F.lit(0.0)
     drawn = rows.filter((F.pmod(F.xxhash64("id"), F.lit(1_000_003)) / 1_000_003.0) < share).select("label", "text").collect()
     pieces = Pieces(load_pieces(folder))
-    found = [(codes.index(r.label), folded_words(s)) for r in sorted(drawn, key=lambda r: (r.label, r.text)) for *_, s in sentences(r.text)]
+    found = [(codes.index(r.label), s) for r in sorted(drawn, key=lambda r: (r.label, r.text)) for *_, s in sentences(r.text)]
     words = sorted({w[:40] for _, ws in found for w in ws})
     number = {w: n for n, w in enumerate(words)}
 
@@ -309,7 +318,7 @@ def segments(documents: DataFrame, languages: DataFrame, folder: str = TOKENIZER
             ids, names, texts = (batch.column(c).to_pylist() for c in range(3))
             for at in range(0, len(ids), 500):
                 found = [(n, s) for n in range(at, min(at + 500, len(ids))) for s in sentences(texts[n])]
-                post = score.posteriors([folded_words(s[2]) for _, s in found])
+                post = score.posteriors([s[2] for _, s in found])
                 best, sure = post.argmax(1), post.max(1)
                 runs: list[list] = []
                 for (n, (a, b, _)), lang, p in zip(found, best.tolist(), sure.tolist()):
