@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import canonical, crosssplit, groupsplit, language, leaks, matches, neardup, representative
+from corpusloom.llm import canonical, crosssplit, groupsplit, language, leaks, matches, neardup, packing, representative
 
 
 def queries() -> dict:
@@ -19,6 +19,8 @@ def queries() -> dict:
         "p5_built": representative.p5_built,
         "p6_found": groupsplit.p6_found,
         "p6_splits": groupsplit.p6_splits,
+        "p7_containers": packing.p7_containers,
+        "p7_fill": packing.p7_fill,
         "p8_found": leaks.p8_found,
         "p8_report": leaks.p8_report,
         "p9_found": language.p9_found,
