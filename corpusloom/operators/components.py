@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.operators.skew import attach
 from corpusloom.workspace import Workspace
 
 
@@ -14,35 +15,46 @@ def symmetric(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return e.union(e.select(F.col("dst"), F.col("src"))).distinct()
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b", ws: Workspace | None = None) -> DataFrame:
-    """``(node, component)`` for every node that has an edge; component is the smallest node it can reach.
+def _next_labels(labels: DataFrame, near: DataFrame) -> DataFrame:
+    """Labels ``(node, component, changed)`` after one round; ``near`` has the least label ``m`` in each node's reach.
 
-    Each round takes the minimum over the neighbours and then follows the label's own label, so chains shrink
-    by jumps and not by single steps. Every round is a written table; nothing but one changed-row count comes
-    to the driver. Loops, nulls and repeated edges are allowed and change nothing; no edges give no rows.
+    The minimum goes to the node and to the node that is its label, so whole basins are hooked to a lower one at
+    once; then each label is replaced by its own label. This takes about log n rounds, also on long chains.
     """
-    ws = ws or Workspace(edges.sparkSession)
-    sym = ws.table(symmetric(edges, a, b), "edges")
-    labels = ws.table(
-        sym.groupBy("src").agg(F.min("dst").alias("m")).select(F.col("src").alias("node"), F.least("src", "m").alias("component")), "labels"
-    )
+    seen = labels.join(near, "node")
+    offers = seen.select(F.explode(F.array(F.struct("node", F.least("component", "m").alias("c")), F.struct(F.col("component").alias("node"), F.col("m").alias("c")))).alias("o"))
+    hooked = offers.select("o.node", "o.c").unionAll(labels.select("node", F.col("component").alias("c"))).groupBy("node").agg(F.min("c").alias("c"))
+    roots = hooked.select(F.col("node").alias("c"), F.col("c").alias("r"))
+    jumped = hooked.join(roots, "c").select("node", F.least("c", "r").alias("component"))
+    return jumped.join(labels.withColumnRenamed("component", "was"), "node").select("node", "component", (F.col("component") != F.col("was")).alias("changed"))
+
+
+def _settled(ws: Workspace, labels: DataFrame, near) -> DataFrame:
+    """Repeats rounds until no label changes; ``near`` makes the reach of given labels. Each round is a written table."""
     while True:
-        # the label of the label is a candidate of every node as well as those of its neighbours
-        near = sym.join(labels.withColumnRenamed("node", "dst"), "dst").select(F.col("src").alias("node"), F.col("component").alias("c"))
-        own = labels.select("node", F.col("component").alias("c"))
-        best = near.unionAll(own).groupBy("node").agg(F.min("c").alias("c"))
-        roots = labels.select(F.col("node").alias("c"), F.col("component").alias("r"))
-        jumped = best.join(roots, "c", "left").select("node", F.least("c", "r").alias("component"))
-        after = jumped.join(labels.withColumnRenamed("component", "was"), "node").select("node", "component", (F.col("component") != F.col("was")).alias("changed"))
-        table = ws.table(after, "labels")
+        table = ws.table(_next_labels(labels, near(labels)), "labels")
         ws.drop(labels)
         labels = table.select("node", "component")
         labels._corpusloom_path = table._corpusloom_path
         if not table.filter("changed").limit(1).count():
-            ws.drop(sym)
             return labels
 
 
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b", ws: Workspace | None = None) -> DataFrame:
+    """``(node, component)`` for every node that has an edge; component is the smallest node it can reach.
+
+    Labels go along the edges as minima with map-side combining. Nothing but whether a row changed comes to the
+    driver. Loops, nulls and repeated edges are allowed and change nothing; no edges give no rows.
+    """
+    ws = ws or Workspace(edges.sparkSession)
+    sym = ws.table(symmetric(edges, a, b), "edges")
+    start = sym.groupBy("src").agg(F.min("dst").alias("m")).select(F.col("src").alias("node"), F.least("src", "m").alias("component"))
+    reach = lambda labels: sym.join(labels.withColumnRenamed("node", "dst"), "dst").groupBy(F.col("src").alias("node")).agg(F.min("component").alias("m"))
+    labels = _settled(ws, ws.table(start, "labels"), reach)
+    ws.drop(sym)
+    return labels
+
+
 def bipartite_components(members: DataFrame, row: str, entity: str, ws: Workspace | None = None) -> DataFrame:
     """``(row, component)`` where rows that share an entity, directly or through others, share a component.
 
@@ -50,23 +62,15 @@ def bipartite_components(members: DataFrame, row: str, entity: str, ws: Workspac
     entity that holds a third of all rows is no hot group: only its minimum is shuffled to it, and what comes
     back is spread with :func:`corpusloom.operators.skew.attach`. Rows without an entity are not returned.
     """
-    from corpusloom.operators.skew import attach
-
     ws = ws or Workspace(members.sparkSession)
-    links = ws.table(members.select(F.col(row).alias("row"), F.col(entity).alias("entity")).dropna().distinct(), "links")
+    links = ws.table(members.select(F.col(row).alias("node"), F.col(entity).alias("entity")).dropna().distinct(), "links")
     sizes = ws.table(links.groupBy("entity").agg(F.count("*").alias("n")), "entities")
-    labels = ws.table(links.select("row").distinct().withColumn("component", F.col("row")), "labels")
-    while True:
-        low = links.join(labels, "row").groupBy("entity").agg(F.min("component").alias("c"))
+
+    def reach(labels: DataFrame) -> DataFrame:
+        low = links.join(labels, "node").groupBy("entity").agg(F.min("component").alias("c"))
         lows = ws.table(low.join(sizes, "entity"), "lows")
-        best = attach(links, lows, ["entity"], "n").groupBy("row").agg(F.min("c").alias("c"))
-        roots = labels.select(F.col("row").alias("c"), F.col("component").alias("r"))
-        jumped = best.join(roots, "c", "left").select("row", F.least("c", "r").alias("component"))
-        after = jumped.join(labels.withColumnRenamed("component", "was"), "row").select("row", "component", (F.col("component") != F.col("was")).alias("changed"))
-        table = ws.table(after, "labels")
-        ws.drop(labels, lows)
-        labels = table.select("row", "component")
-        labels._corpusloom_path = table._corpusloom_path
-        if not table.filter("changed").limit(1).count():
-            ws.drop(links, sizes)
-            return labels
+        return attach(links, lows, ["entity"], "n").groupBy("node").agg(F.min("c").alias("m"))
+
+    start = attach(links, ws.table(links.groupBy("entity").agg(F.min("node").alias("c"), F.count("*").alias("n")), "lows"), ["entity"], "n")
+    labels = _settled(ws, ws.table(start.groupBy("node").agg(F.min("c").alias("component")), "labels"), reach)
+    return labels.withColumnRenamed("node", "row")
