@@ -14,7 +14,7 @@ from corpusloom.operators.skew import attach
 from corpusloom.workspace import Workspace
 
 #: Levels of breadth-first search. A giant component is shallow; a longer chain is finished by propagation.
-BFS_LEVELS = 16
+BFS_LEVELS = 8
 
 
 def normal_id(c: Column) -> Column:
@@ -66,10 +66,13 @@ def consolidated(matches: DataFrame, records: DataFrame, ws: Workspace | None =
     through ids that records lacks, but only ids of records are listed; group_id is the smallest of those.
     """
     ws = ws or Workspace(matches.sparkSession)
-    edges = matches.select(normal_id(F.col("id")).alias("a"), normal_id(F.col("canonical")).alias("b"))
-    labels = ws.table(groups_of(edges, ws), "labels")
-    ids = records.select("id", normal_id(F.col("id")).alias("node")).distinct()
-    members = ws.table(ids.join(labels, "node").select("id", "component"), "members")
+    named = matches.select(normal_id(F.col("id")).alias("x"), normal_id(F.col("canonical")).alias("y")).filter("x <> y").distinct()
+    # ids are long strings; the graph is worked on with numbers
+    names = ws.table(named.select(F.explode(F.array("x", "y")).alias("name")).distinct().withColumn("node", F.monotonically_increasing_id()), "names")
+    edges = named.join(names.toDF("x", "a"), "x").join(names.toDF("y", "b"), "y").select("a", "b")
+    labels = groups_of(edges, ws)
+    ids = records.select("id", normal_id(F.col("id")).alias("name")).distinct()
+    members = ws.table(ids.join(names, "name").join(labels, "node").select("id", "component"), "members")
     groups = ws.table(members.groupBy("component").agg(F.min("id").alias("group_id"), F.count("*").alias("n")), "groups")
     return attach(members, groups, ["component"], "n").select("group_id", "id")
 
