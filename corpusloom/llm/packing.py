@@ -6,6 +6,7 @@ Hilbert key, and neighbours along the curve are packed together.
 
 from __future__ import annotations
 
+import base64
 import bisect
 import os
 from collections.abc import Iterator
@@ -20,7 +21,9 @@ from corpusloom.workspace import Workspace
 
 #: Where the public tokenizers' files lie, and which one measures the texts.
 TOKENIZERS = os.environ.get("CORPUSLOOM_TOKENIZERS", "/opt/tokenizers")
-TOKENIZER = "byte_bpe_50k.json"
+TOKENIZER = "byte_bpe_50k.tiktoken"
+# Fixed value: how this vocabulary splits a text before its merges.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 DIMENSIONS, BITS = 4, 8
 #: Documents to a range along the curve; each range is packed by one task.
 RANGE_ROWS = 50_000
@@ -64,6 +67,14 @@ def _projection(ids: np.ndarray) -> np.ndarray:
     return ((h[:, None] >> np.arange(DIMENSIONS, dtype=np.uint64)) & np.uint64(1)).astype(np.float64) * 2 - 1
 
 
+def load_tokenizer(folder: str = TOKENIZERS):
+    import tiktoken
+
+    with open(os.path.join(folder, TOKENIZER), "rb") as f:
+        ranks = {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, f)}
+    return tiktoken.Encoding("byte_bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 def measured(documents: DataFrame, folder: str = TOKENIZERS) -> DataFrame:
     """``(doc_id, tokens, key)``: each whole text's size in tokens and its place along the curve.
 
@@ -72,17 +83,15 @@ def measured(documents: DataFrame, folder: str = TOKENIZERS) -> DataFrame:
     """
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(os.path.join(folder, TOKENIZER))
-        tokenizer.encode_special_tokens = True
-        directions = _projection(np.arange(tokenizer.get_vocab_size()))
+        tokenizer = load_tokenizer(folder)
+        directions = _projection(np.arange(tokenizer.n_vocab))
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             for a, b in chunks(texts):
                 sizes, cells = [], []
-                for enc in tokenizer.encode_batch_fast(texts[a:b], add_special_tokens=False):
-                    tokens = np.fromiter(enc.ids, np.int64, len(enc.ids))
+                for text in texts[a:b]:
+                    ids_ = tokenizer.encode_ordinary(text)
+                    tokens = np.fromiter(ids_, np.int64, len(ids_))
                     sizes.append(len(tokens))
                     found, counts = np.unique(tokens, return_counts=True)
                     z = np.sqrt(counts) @ directions[found] / max(np.sqrt(len(tokens)), 1.0)
