@@ -19,7 +19,7 @@ from corpusloom.workspace import Workspace
 class Votes:
     """How much a record's word counts: trust of its source, halved every ``half_life_days`` of its age.
 
-    ``trust`` is by family_tag after normalisation; others have ``other_trust``. The age runs from ``fetched_at``
+    A record whose code_hash is missing or out of date is trusted less. The age runs from ``fetched_at``
     (``loaded_at`` where that is null) to ``now``, a fixed moment, so that a run can be repeated.
     """
 
@@ -49,22 +49,18 @@ def representatives(records: DataFrame, groups: DataFrame, votes: Votes = Votes(
     Null, NaN and blank values have no vote; a field nobody fills is null in the result. No step gathers a group:
     all are aggregates with map-side combining, so the size of a group doesn't matter.
     """
-    r = records.select("row_idx", "name", "code", "accuracy", "code_hash", "fetched_at", "loaded_at").join(
-        groups.select(F.col("first_id").alias("first_row_idx"), F.col("id").alias("row_idx")), "row_idx"
-    )
     age = F.greatest(F.lit(0.0), (F.unix_timestamp(F.lit(votes.now).cast("timestamp")) - F.unix_timestamp(F.coalesce("fetched_at", "loaded_at"))) / 86400.0)
     stale = F.coalesce(F.lower("code_hash") != F.sha2("code", 256), F.lit(True))
     trust = F.when(stale, F.lit(votes.stale_hash_trust)).otherwise(F.lit(votes.other_trust))
-    acc, name, length = fraction(F.col("accuracy")), _present(F.col("name")), F.length("code")
-    r = r.select(
-        "first_row_idx",
+    # what the votes need of a record is derived where it is read, so no code is shuffled
+    r = records.select(
         "row_idx",
-        name.alias("name"),
-        acc.alias("acc"),
-        F.coalesce(length, F.lit(0)).alias("len"),
+        _present(F.col("name")).alias("name"),
+        fraction(F.col("accuracy")).alias("acc"),
+        F.coalesce(F.length("code"), F.lit(0)).alias("len"),
         F.xxhash64("code").alias("code_key"),
         (trust * F.pow(F.lit(2.0), -F.coalesce(age, F.lit(3650.0)) / votes.half_life_days)).alias("vote"),
-    )
+    ).join(groups.select(F.col("first_id").alias("first_row_idx"), F.col("id").alias("row_idx")), "row_idx")
     order = F.struct(
         F.col("acc").isNull().alias("no_acc"), (-F.col("acc")).alias("acc"), (-F.col("len")).alias("len"), F.col("name").isNull().alias("no_name"), F.col("name").alias("name"), F.col("row_idx").alias("row_idx")
     )
