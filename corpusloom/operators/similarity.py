@@ -22,6 +22,11 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when((F.size(a) == 0) & (F.size(b) == 0), 1.0).otherwise(same / (F.size(a) + F.size(b) - same))
 
 
+def _written(sets: DataFrame, ws: Workspace) -> DataFrame:
+    # filters on the items come after this: pushed below, they would work the items out once more for each of their elements
+    return ws.table(sets.select("id", "family", "items").filter("id is not null and family is not null"), "sets")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: float | Column) -> DataFrame:
     left = sets.select(F.col("id").alias("a"), F.col("family").alias("family"), F.col("items").alias("left"))
     right = sets.select(F.col("id").alias("b"), F.col("items").alias("right"))
@@ -45,7 +50,7 @@ def similar_pairs(sets: DataFrame, threshold: float, verify: Column | None = Non
     are chained to the smallest of them. Null families and ids match nothing.
     """
     ws = ws or Workspace(sets.sparkSession)
-    sets = ws.table(sets.select("id", "family", "items").filter("id is not null and family is not null and items is not null"), "sets")
+    sets = _written(sets, ws).filter("items is not null")
     hashed = sets.select("id", "family", F.size("items").alias("n"), F.explode_outer(F.transform("items", lambda x: F.xxhash64(x))).alias("h")).filter("h is not null")
     frequency = hashed.groupBy("h").agg(F.count("*").alias("df"))
     ordered = hashed.join(frequency, "h").groupBy("id", "family", "n").agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("o"))
@@ -91,7 +96,7 @@ def lsh_pairs(sets: DataFrame, threshold: float, verify: Column | None = None, w
     Each member of a bucket is verified against its smallest id, so a bucket that many share never gives all its pairs.
     """
     ws = ws or Workspace(sets.sparkSession)
-    sets = ws.table(sets.select("id", "family", "items").filter("id is not null and family is not null and size(items) > 0"), "sets")
+    sets = _written(sets, ws).filter("size(items) > 0")
     bands = ws.table(minhash_bands(sets), "bands")
     first = bands.groupBy("family", "band", "key").agg(F.min("id").alias("a"), F.count("*").alias("n")).filter("n > 1")
     pairs = bands.join(first, ["family", "band", "key"]).filter("id <> a").select("a", F.col("id").alias("b")).distinct()

@@ -70,7 +70,9 @@ def _word_sets(spark, d):
     # one record of each code: exact copies are gone before anything is compared
     r = _records(spark, d)
     one = r.groupBy("code_hash").agg(F.min("row_idx").alias("row_idx"))
-    return r.join(one, ["code_hash", "row_idx"]).select(F.col("row_idx").alias("id"), F.col("family_tag").alias("family"), shingles(word_tokens(F.col("code")), 10).alias("items"))
+    # words are a column of their own, or each run of them would read the whole text again
+    words = r.join(one, ["code_hash", "row_idx"]).select(F.col("row_idx").alias("id"), F.col("family_tag").alias("family"), word_tokens(F.col("code")).alias("w"))
+    return words.select("id", "family", shingles(F.col("w"), 10).alias("items"))
 
 
 def record_pairs(spark, d):
