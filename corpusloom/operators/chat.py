@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions import pycode
+from corpusloom.workspace import spread
 
 # The policy that every example begins with, in our own words for the same contract.
 SYSTEM_POLICY = (
@@ -65,7 +66,7 @@ def summaries(files: DataFrame) -> DataFrame:
             keys = [os.path.abspath(p) for p in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys), pa.array(found, kind), pa.array(masked, pa.string())], names=["path", "text", "group_key", "s", "masked"])
 
-    return files.select("path", "text").mapInArrow(look, "path string, text string, group_key string, s struct<has_module boolean, family string, param_estimate bigint, class_names array<string>, calls array<string>>, masked string")
+    return spread(files.select("path", "text")).mapInArrow(look, "path string, text string, group_key string, s struct<has_module boolean, family string, param_estimate bigint, class_names array<string>, calls array<string>>, masked string")
 
 
 def build_examples(files: DataFrame, infill: bool = True, seed: int = 42) -> tuple[DataFrame, DataFrame]:
@@ -118,7 +119,7 @@ def checked(rows: DataFrame, fix_fences: bool = True, require_parse: bool = True
     answer = F.when(shape.isNull(), F.coalesce(F.col("messages")[2]["content"], F.lit("")))
     ready = rows.select("id", answer.alias("_answer"), "messages", "meta", shape.alias("_shape"))
     kinds = {f.name: f.dataType.simpleString() for f in ready.schema}
-    done = ready.mapInArrow(check, f"id {kinds['id']}, _answer string, messages {kinds['messages']}, meta {kinds['meta']}, _shape string, _found string")
+    done = spread(ready).mapInArrow(check, f"id {kinds['id']}, _answer string, messages {kinds['messages']}, meta {kinds['meta']}, _shape string, _found string")
     replaced = F.transform("messages", lambda m, i: F.struct(m["role"].alias("role"), F.when((i == 2) & F.col("_answer").isNotNull(), F.col("_answer")).otherwise(m["content"]).alias("content")))
     return done.select("id", replaced.alias("messages"), "meta", F.coalesce("_shape", "_found").alias("drop_reason"))
 

@@ -48,10 +48,9 @@ def structural_greedy(records: DataFrame, edges: DataFrame, ws: Workspace | None
     id_type = edges.schema["a"].dataType.simpleString()
 
     def scan(group: pd.DataFrame) -> pd.DataFrame:
-        flip = group["oa"] > group["ob"]
-        group.loc[flip, ["a", "b", "oa", "ob", "qa", "qb"]] = group.loc[flip, ["b", "a", "ob", "oa", "qb", "qa"]].to_numpy()
+        pairs = [((oa, ob), a, b, qa, qb) if oa < ob else ((ob, oa), b, a, qb, qa) for a, b, oa, ob, qa, qb in group[["a", "b", "oa", "ob", "qa", "qb"]].itertuples(index=False)]
         gone: dict = {}
-        for a, b, qa, qb in group.sort_values(["oa", "ob"])[["a", "b", "qa", "qb"]].itertuples(index=False):
+        for _, a, b, qa, qb in sorted(pairs):
             if a not in gone and b not in gone:
                 worse, better = (a, b) if qb < qa else (b, a)
                 gone[worse] = better

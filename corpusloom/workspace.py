@@ -30,6 +30,12 @@ def shared_dir(spark: SparkSession) -> str:
     return _local[0]
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores before work that is heavy on them; only an input of fewer parts than cores, such as one small file, is shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 class Workspace:
     """Writes tables that cut lineage, and removes those that are no longer read."""
 
