@@ -38,7 +38,7 @@ _LEAD = re.compile(r"""^[\s>]*(?:(?:\#+|//+|[-*+•]|\d+[.)])\s+)?(?:[rRbBfFuU]?
 _TAG = re.compile(r"</?[A-Za-z][^<>]{0,200}>")
 _QUOTES = re.compile(r"\"\"\"|'''")
 _CODE_LINE = re.compile(r"^(?:```|\||import \w|from \S+ import\b|return\b|def \w|class \w+.*:\s*$|pip install|--\w|\[\d+/\d+\]|step \d+ loss|\w*(?:error|exception)\b\s*:|super\(|@\w|[A-Za-z]+_\w+\.\w+$)", re.I)
-_NO_SYMBOLS = str.maketrans("", "", "=(){}[]|<>;\\^~")
+_SYMBOLS = re.compile(r"[=(){}\[\]|<>;\\^~]")
 _JOINED = re.compile(r"\w_\w")
 
 
@@ -61,7 +61,7 @@ def _lines(text: str) -> Iterator[tuple[int, str]]:
         lead = _LEAD.match(stripped).end()
         body = stripped[lead:].rstrip()
         heading = line.lstrip().startswith("#") and not _END.search(body)
-        symbols, words = len(body) - len(body.translate(_NO_SYMBOLS)), body.count(" ") + 1
+        symbols, words = len(_SYMBOLS.findall(body)), body.count(" ") + 1
         if "_" in body:
             symbols += len(_JOINED.findall(body))
         if heading or _CODE_LINE.match(body) or symbols * 5 > words:
