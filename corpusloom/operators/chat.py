@@ -137,5 +137,5 @@ def group_key(meta: Column, id_: Column) -> Column:
 
 def rendered(rows: DataFrame, template: str = "<|%s|>\n%s\n") -> DataFrame:
     """``(id, prompt, assistant, meta)``: all but the last message by a local template; no foreign code is loaded."""
-    shown = F.transform(F.slice("messages", F.lit(1), F.greatest(F.size("messages") - 1, F.lit(0))), lambda m: F.format_string(template, m["role"], m["content"]))
+    shown = F.transform(F.slice("messages", F.lit(1), F.greatest(F.size("messages") - 1, F.lit(0))), lambda m: F.format_string(template, F.coalesce(m["role"], F.lit("")), F.coalesce(m["content"], F.lit(""))))
     return rows.select("id", F.concat(F.array_join(shown, ""), F.lit("<|assistant|>\n")).alias("prompt"), F.try_element_at("messages", F.lit(-1))["content"].alias("assistant"), "meta")

@@ -165,6 +165,17 @@ def chat_checked(spark, d):
     return chat.checked(_t(spark, d, "chat_examples").select("id", "messages", "meta")).groupBy("drop_reason").agg(F.count("*").alias("rows"))
 
 
+def chat_rendered(spark, d):
+    return chat.rendered(_t(spark, d, "chat_examples")).select("id", "prompt", "assistant").distinct()
+
+
+def structural_near_pairs(spark, d):
+    """Records of distinct fingerprints whose bags of calls and settings are alike to 0.9."""
+    f = with_features(_records(spark, d), "id", "code").groupBy("fp_hash").agg(F.min(F.struct("id", "bag")).alias("m"))
+    sets = f.select(F.col("m.id").alias("id"), F.lit("all").alias("family"), F.col("m.bag").alias("items"))
+    return similarity.similar_pairs(sets, 0.9).select("a", "b", F.round("similarity", 9).alias("similarity"))
+
+
 def chat_examples_built(spark, d):
     files = _t(spark, d, "records").filter("code is not null").select(F.concat(F.lit("/data/code/"), "id", F.lit(".py")).alias("path"), F.col("code").alias("text"))
     return chat.build_examples(files)[0].select("id", F.col("meta.type").alias("type"), "meta.family", "meta.param_estimate", F.size("messages").alias("messages"))
@@ -188,7 +199,7 @@ def curate_tombstones(spark, d):
 _QUERIES = (
     prefix_filter, matched_prefix, prefix_diagnostics, exact_kept, exact_tombstones, quality_top, families, word_shingle_counts, record_pairs, record_components, component_keepers,
     record_pairs_lsh, order_basket_similarity, family_split, item_split, grouped_split, source_split, last_family_split, disjoint_rows, split_overlaps, split_manifest,
-    sampling_weights_out, file_names, chat_schema_reasons, parameter_caps, chat_checked, chat_examples_built, code_fingerprints, curate_kept, curate_tombstones,
+    sampling_weights_out, file_names, chat_schema_reasons, parameter_caps, chat_checked, chat_rendered, chat_examples_built, code_fingerprints, structural_near_pairs, curate_kept, curate_tombstones,
 )
 
 
@@ -292,6 +303,8 @@ def oracle_sql() -> dict[str, str]:
         "chat_schema_reasons": """WITH r AS (SELECT CASE WHEN coalesce(len(messages), 0) <> 3 THEN 'bad_schema_len'
   WHEN NOT coalesce(messages[1].role = 'system' AND messages[2].role = 'user' AND messages[3].role = 'assistant', false) THEN 'bad_roles' END AS reason FROM chat_examples)
   SELECT reason, count(*) AS rows FROM r GROUP BY 1""",
+        "chat_rendered": """SELECT DISTINCT id, array_to_string(list_transform(messages[1 : greatest(len(messages) - 1, 0)],
+  lambda m: '<|' || coalesce(m.role, '') || '|>' || chr(10) || coalesce(m.content, '') || chr(10)), '') || '<|assistant|>' || chr(10) AS prompt, messages[len(messages)].content AS assistant FROM chat_examples""",
         "parameter_caps": "WITH p AS (SELECT DISTINCT id, floor(greatest(coalesce(meta.param_estimate, 50000), 50000) * 1.3::DOUBLE) AS x FROM chat_examples) SELECT id, ("
         + _case([(f"x <= {b}", b) for b in chat.PARAMETER_BUCKETS], str(chat.PARAMETER_BUCKETS[-1]))
         + ")::BIGINT AS cap FROM p",

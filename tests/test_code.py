@@ -83,3 +83,8 @@ def test_masked_forward():
 def test_one_block(answer, code):
     block = pycode.one_block(answer)
     assert pycode.fenced_code(block) == code
+
+
+def test_first_block():
+    assert pycode.first_block("a ```python\nx = (\n``` ```python\ny = 1\n```") == "```python\nx = (\n```"
+    assert pycode.first_block("x") == "```python\nx\n```"
