@@ -6,11 +6,13 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 _local: list[str] = []
+_shipped: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -30,8 +32,21 @@ def shared_dir(spark: SparkSession) -> str:
     return _local[0]
 
 
+def ship(spark: SparkSession) -> None:
+    """Gives this package to the executors' Python, once for each application, so that it need not be installed there."""
+    sc = spark.sparkContext
+    home = Path(__file__).resolve().parent
+    if sc.applicationId in _shipped or not home.is_dir():
+        return
+    _shipped.add(sc.applicationId)
+    folder = tempfile.mkdtemp(prefix="corpusloom-code-")  # only the driver reads it
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    sc.addPyFile(shutil.make_archive(f"{folder}/corpusloom", "zip", home.parent, home.name))
+
+
 def spread(df: DataFrame) -> DataFrame:
     """``df`` over all cores before work that is heavy on them; only an input of fewer parts than cores, such as one small file, is shuffled."""
+    ship(df.sparkSession)
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
@@ -40,6 +55,7 @@ class Workspace:
     """Writes tables that cut lineage, and removes those that are no longer read."""
 
     def __init__(self, spark: SparkSession):
+        ship(spark)
         self.spark = spark
         self.root = f"{shared_dir(spark)}/corpusloom-{uuid.uuid4().hex}"
         self._n = 0
