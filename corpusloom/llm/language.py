@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.workspace import ship
+
 #: Where the public tokenizers' files lie.
 TOKENIZERS = os.environ.get("CORPUSLOOM_TOKENIZERS", "/opt/tokenizers")
 VOCABULARY = "piece_bpe_32k.model"
@@ -307,6 +309,7 @@ def segments(documents: DataFrame, languages: DataFrame, folder: str = TOKENIZER
     sentences; sentences under LEAST_CONFIDENCE are left out. Whole texts are read. Documents without a full sentence,
     with a null or empty text or a null id give no row; repeated rows repeat their result.
     """
+    ship(documents.sparkSession)
     codes = sorted(r.lang for r in languages.select("lang").dropna().distinct().collect())
     label = named_language(F.col("lang"), languages)
     pieces, probs = train(documents, label, codes, folder, sample_docs)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.shingles import chunks, mix
-from corpusloom.workspace import Workspace
+from corpusloom.workspace import Workspace, ship
 
 #: Where the public tokenizers' files lie, and which one measures the texts.
 TOKENIZERS = os.environ.get("CORPUSLOOM_TOKENIZERS", "/opt/tokenizers")
@@ -99,6 +99,7 @@ def measured(documents: DataFrame, folder: str = TOKENIZERS) -> DataFrame:
                 keys = hilbert_keys(np.array(cells).reshape(-1, DIMENSIONS))
                 yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(sizes, pa.int64()), pa.array(keys)], names=["doc_id", "tokens", "key"])
 
+    ship(documents.sparkSession)
     # blank texts take no room
     rows = documents.select(F.col("doc_id").cast("long"), "text").filter(r"doc_id is not null and regexp_like(text, '[^\\s\\p{Z}]')")
     return rows.mapInArrow(measure, "doc_id long, tokens long, key long")
