@@ -23,8 +23,10 @@ def jaccard(a: Column, b: Column) -> Column:
 
 
 def _written(sets: DataFrame, ws: Workspace) -> DataFrame:
-    # filters on the items come after this: pushed below, they would work the items out once more for each of their elements
-    return ws.table(sets.select("id", "family", "items").filter("id is not null and family is not null"), "sets")
+    # items become 64-bit hashes, which take less room and are compared faster. Filters on the items come after this:
+    # pushed below, they would work the items out once more for each of their elements
+    hashed = F.array_distinct(F.transform("items", lambda x: F.xxhash64(x))).alias("items")
+    return ws.table(sets.select("id", "family", hashed).filter("id is not null and family is not null"), "sets")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: float | Column) -> DataFrame:
@@ -44,14 +46,14 @@ def _empty_pairs(sets: DataFrame) -> DataFrame:
 def similar_pairs(sets: DataFrame, threshold: float, verify: Column | None = None, ws: Workspace | None = None) -> DataFrame:
     """``(a, b, family, similarity)``, a < b, for rows ``(id, family, items)`` of one family, by an exact prefix-filter join.
 
-    Items are hashed and ordered by how many sets have them, the rarest first. Two sets that reach the threshold
+    Items are hashed to 64 bits and ordered by how many sets have them, the rarest first. Two sets that reach the threshold
     share one of their first n - ceil(threshold * n) + 1 items, so only those are joined, under a length filter; what
     they give is verified on whole sets. ``verify`` is a stricter threshold for some rows. Empty sets of a family
     are chained to the smallest of them. Null families and ids match nothing.
     """
     ws = ws or Workspace(sets.sparkSession)
     sets = _written(sets, ws).filter("items is not null")
-    hashed = sets.select("id", "family", F.size("items").alias("n"), F.explode_outer(F.transform("items", lambda x: F.xxhash64(x))).alias("h")).filter("h is not null")
+    hashed = sets.select("id", "family", F.size("items").alias("n"), F.explode_outer("items").alias("h")).filter("h is not null")
     frequency = hashed.groupBy("h").agg(F.count("*").alias("df"))
     ordered = hashed.join(frequency, "h").groupBy("id", "family", "n").agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("o"))
     keep = (F.col("n") - F.ceil(F.col("n") * threshold - _EPS) + 1).cast("int")
@@ -63,7 +65,7 @@ def similar_pairs(sets: DataFrame, threshold: float, verify: Column | None = Non
 
 
 def minhash_bands(sets: DataFrame, seed: int = 1) -> DataFrame:
-    """``(id, family, band, key)``: MinHash signatures of PERMUTATIONS values in BANDS bands of ROWS rows."""
+    """``(id, family, band, key)`` for sets of 64-bit hashes: MinHash signatures of PERMUTATIONS values in BANDS bands of ROWS rows."""
     draw = np.random.default_rng(seed)
     a = draw.integers(1, 2**63, PERMUTATIONS, dtype=np.uint64) | np.uint64(1)
     b = draw.integers(0, 2**63, PERMUTATIONS, dtype=np.uint64)
@@ -85,7 +87,7 @@ def minhash_bands(sets: DataFrame, seed: int = 1) -> DataFrame:
                 names=["id", "family", "band", "key"],
             )
 
-    rows = sets.select("id", "family", F.transform("items", lambda x: F.xxhash64(x)).alias("h"))
+    rows = sets.select("id", "family", "items")
     id_type = sets.schema["id"].dataType.simpleString()
     return rows.mapInArrow(sign, f"id {id_type}, family string, band int, key long")
 
