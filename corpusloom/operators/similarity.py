@@ -14,6 +14,8 @@ from corpusloom.workspace import Workspace
 _EPS = 1e-9
 #: Signature length, and the bands and rows that suit a retrieval threshold of 0.85.
 PERMUTATIONS, BANDS, ROWS = 256, 13, 19
+#: Longer lists of ids are paired in blocks of so many.
+BLOCK = 256
 
 
 def jaccard(a: Column, b: Column) -> Column:
@@ -92,14 +94,45 @@ def minhash_bands(sets: DataFrame, seed: int = 1) -> DataFrame:
     return rows.mapInArrow(sign, f"id {id_type}, family string, band int, key long")
 
 
-def lsh_pairs(sets: DataFrame, threshold: float, verify: Column | None = None, ws: Workspace | None = None) -> DataFrame:
+def _all_pairs(groups: DataFrame) -> DataFrame:
+    """``(family, a, b)``, a < b, of all ids that share a list of ``(family, ids)``, whose ids are sorted and distinct.
+
+    A list longer than BLOCK is cut into blocks, and every pair of blocks goes to a task of its own.
+    """
+    last = ((F.size("ids") - 1) / BLOCK).cast("int")
+    parts = groups.select("family", "ids", last.alias("last")).select("family", "ids", "last", F.explode(F.sequence(F.lit(0), "last")).alias("i"))
+    parts = parts.select("family", "ids", "last", "i", F.explode(F.sequence("i", "last")).alias("j"))
+    block = lambda at: F.slice("ids", F.col(at) * BLOCK + 1, F.lit(BLOCK))
+    parts = parts.select("family", "last", "i", "j", block("i").alias("left"), block("j").alias("right"))
+    shuffled = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = parts.filter("last = 0").unionByName(parts.filter("last > 0").repartition(shuffled, "i", "j"))
+    return spread.select("family", "right", F.explode("left").alias("a")).select("family", "a", F.explode("right").alias("b")).filter("a < b")
+
+
+def lsh_pairs(sets: DataFrame, threshold: float, verify: Column | None = None, ws: Workspace | None = None, empty: bool = False) -> DataFrame:
     """Like :func:`similar_pairs`, but candidates are retrieved by MinHash bands, which misses some; none is wrong.
 
-    Each member of a bucket is verified against its smallest id, so a bucket that many share never gives all its pairs.
+    Equal sets are one class, so they fill no bucket. All pairs of classes in a bucket are verified, and what they give is
+    a pair for all their members. With ``empty``, empty sets are chained as there; without, they match nothing.
     """
     ws = ws or Workspace(sets.sparkSession)
-    sets = _written(sets, ws).filter("size(items) > 0")
-    bands = ws.table(minhash_bands(sets), "bands")
-    first = bands.groupBy("family", "band", "key").agg(F.min("id").alias("a"), F.count("*").alias("n")).filter("n > 1")
-    pairs = bands.join(first, ["family", "band", "key"]).filter("id <> a").select("a", F.col("id").alias("b")).distinct()
-    return _verified(pairs, sets, F.lit(threshold) if verify is None else verify)
+    every = _written(sets, ws)
+    sets = every.filter("size(items) > 0")
+    verify = F.lit(threshold) if verify is None else verify
+    equal = F.sort_array("items")
+    alike = sets.groupBy("family", F.xxhash64(equal).alias("h1"), F.xxhash64(F.lit(1), equal).alias("h2")).agg(F.sort_array(F.collect_set("id")).alias("ids"))
+    classes = ws.table(alike.select(F.col("ids")[0].alias("id"), "family", "ids"), "classes")
+    several = classes.filter("size(ids) > 1")
+    # a table of its own, so that its size is known and a small one is broadcast instead of shuffling the sets
+    further = ws.table(several.select(F.explode(F.slice("ids", F.lit(2), F.size("ids"))).alias("id")), "further")
+    bands = ws.table(minhash_bands(sets.join(further, "id", "left_anti")), "bands")
+    buckets = bands.groupBy("family", "band", "key").agg(F.sort_array(F.collect_set("id")).alias("ids")).filter("size(ids) > 1")
+    # bands whose buckets have the same members give their pairs once
+    candidates = _all_pairs(ws.table(buckets.select("family", "ids").distinct(), "buckets")).select("a", "b").distinct()
+    links = _verified(candidates, sets, verify)
+    left, right = classes.select(F.col("id").alias("a"), F.col("ids").alias("left")), classes.select(F.col("id").alias("b"), F.col("ids").alias("right"))
+    across = links.join(left, "a").join(right, "b").select("family", "similarity", "right", F.explode("left").alias("x")).select("family", "similarity", "x", F.explode("right").alias("y"))
+    across = across.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "family", "similarity")
+    within = _all_pairs(several).select("a", "b", "family", F.lit(1.0).alias("similarity")).filter(F.col("similarity") >= verify - _EPS)
+    pairs = across.unionByName(within)
+    return pairs.unionByName(_empty_pairs(every)) if empty else pairs

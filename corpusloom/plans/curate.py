@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from dataclasses import asdict, dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,7 +52,7 @@ def curate(rows: DataFrame, config: Curation = Curation(), ws: Workspace | None
     sets = features.join(records.select("id", family.alias("family")), "id").select("id", "family", shingles(F.col("tokens"), config.shingle).alias("items"))
     sets = ws.table(sets, "shingles")
     stricter = F.when(F.col("family").startswith("fractal"), config.lexical_fractal).otherwise(config.lexical)
-    retrieve = lsh_pairs if config.retrieval == "lsh" else similar_pairs
+    retrieve = partial(lsh_pairs, empty=True) if config.retrieval == "lsh" else similar_pairs
     lexical = ws.table(retrieve(sets.join(kept.select("id"), "id", "left_semi"), min(config.lexical, config.lexical_fractal), stricter, ws), "lexical")
     components = ws.table(connected_components(lexical, "a", "b", ws), "components")
     marked = ws.table(retention.keep_best(records, components, config.keep_per_family, config.includes), "marked")

@@ -92,7 +92,7 @@ def component_keepers(spark, d):
 
 
 def record_pairs_lsh(spark, d):
-    pairs = similarity.lsh_pairs(_word_sets(spark, d), 0.8)
+    pairs = similarity.lsh_pairs(_word_sets(spark, d), 0.8, empty=True)
     return pairs.select("a", "b", "family", F.round("similarity", 9).alias("similarity"))
 
 

@@ -52,6 +52,19 @@ def test_similar_pairs_against_brute_force(spark):
     assert similarity.similar_pairs(df.limit(0), 0.5).count() == 0
 
 
+def test_lsh_gives_all_pairs_of_a_bucket(spark, monkeypatch):
+    # near copies of one set, some of them equal, and empty sets; blocks are smaller than a bucket
+    monkeypatch.setattr(similarity, "BLOCK", 3)
+    near = [[f"t{x}" for x in range(400) if x != k] for k in range(10)]
+    data = [(i, "f", near[i % 10]) for i in range(14)] + [(20 + i, "fractal", near[i]) for i in range(4)] + [(30 + i, "f", []) for i in range(3)]
+    df = spark.createDataFrame(data, "id long, family string, items array<string>")
+    rows = lambda pairs: sorted((r.a, r.b, r.family, round(r.similarity, 9)) for r in pairs.collect())
+    want = rows(similarity.similar_pairs(df, 0.9))
+    assert len(want) == 91 + 6 + 2 and rows(similarity.lsh_pairs(df, 0.9, empty=True)) == want
+    strict = F.when(F.col("family") == "f", 0.999).otherwise(0.9)
+    assert rows(similarity.lsh_pairs(df, 0.9, strict)) == [r for r in want if r[0] < 30 and (r[2] == "fractal" or r[3] == 1)]
+
+
 def test_components_agree_with_union_find(spark):
     rng = random.Random(3)
     edges = [(rng.randrange(80), rng.randrange(80)) for _ in range(60)] + [(i, i + 1) for i in range(200, 260)] + [(5, None), (7, 7)]
