@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from corpusloom.workspace import Workspace
 
 _EPS = 1e-9
-#: Signature length, and the bands and rows that suit a retrieval threshold of 0.85.
-PERMUTATIONS, BANDS, ROWS = 256, 13, 19
+#: Signature length, and the probability with which a pair just at the threshold is to be retrieved.
+PERMUTATIONS, RECALL = 256, 0.99
 #: Longer lists of ids are paired in blocks of so many.
 BLOCK = 256
 
@@ -66,8 +66,18 @@ def similar_pairs(sets: DataFrame, threshold: float, verify: Column | None = Non
     return _verified(pairs, sets, F.lit(threshold) if verify is None else verify).unionByName(_empty_pairs(sets))
 
 
-def minhash_bands(sets: DataFrame, seed: int = 1) -> DataFrame:
-    """``(id, family, band, key)`` for sets of 64-bit hashes: MinHash signatures of PERMUTATIONS values in BANDS bands of ROWS rows."""
+def banding(threshold: float) -> tuple[int, int]:
+    """Bands and rows for a threshold: as many rows to a band as still retrieve a pair at the threshold with a probability of RECALL."""
+    for rows in range(PERMUTATIONS, 1, -1):
+        bands = PERMUTATIONS // rows
+        if 1 - (1 - threshold**rows) ** bands >= RECALL:
+            return bands, rows
+    return PERMUTATIONS, 1
+
+
+def minhash_bands(sets: DataFrame, threshold: float, seed: int = 1) -> DataFrame:
+    """``(id, family, band, key)`` for sets of 64-bit hashes: MinHash signatures of PERMUTATIONS values in the bands that suit the threshold."""
+    n_bands, n_rows = banding(threshold)
     draw = np.random.default_rng(seed)
     a = draw.integers(1, 2**63, PERMUTATIONS, dtype=np.uint64) | np.uint64(1)
     b = draw.integers(0, 2**63, PERMUTATIONS, dtype=np.uint64)
@@ -82,10 +92,10 @@ def minhash_bands(sets: DataFrame, seed: int = 1) -> DataFrame:
                     low = np.minimum(low, (h[at : at + 4096, None] * a + b).min(0))
                 with np.errstate(over="ignore"):
                     mixed = (low ^ (low >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-                    keys += np.add.reduce(mixed[: BANDS * ROWS].reshape(BANDS, ROWS) * (np.arange(ROWS, dtype=np.uint64) * 2 + 1), 1).view(np.int64).tolist()
-            which = np.repeat(np.arange(batch.num_rows), BANDS)
+                    keys += np.add.reduce(mixed[: n_bands * n_rows].reshape(n_bands, n_rows) * (np.arange(n_rows, dtype=np.uint64) * 2 + 1), 1).view(np.int64).tolist()
+            which = np.repeat(np.arange(batch.num_rows), n_bands)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(which)), batch.column(1).take(pa.array(which)), pa.array(np.tile(np.arange(BANDS, dtype=np.int32), batch.num_rows)), pa.array(keys, pa.int64())],
+                [batch.column(0).take(pa.array(which)), batch.column(1).take(pa.array(which)), pa.array(np.tile(np.arange(n_bands, dtype=np.int32), batch.num_rows)), pa.array(keys, pa.int64())],
                 names=["id", "family", "band", "key"],
             )
 
@@ -110,7 +120,7 @@ def _all_pairs(groups: DataFrame) -> DataFrame:
 
 
 def lsh_pairs(sets: DataFrame, threshold: float, verify: Column | None = None, ws: Workspace | None = None, empty: bool = False) -> DataFrame:
-    """Like :func:`similar_pairs`, but candidates are retrieved by MinHash bands, which misses some; none is wrong.
+    """Like :func:`similar_pairs`, but candidates are retrieved by MinHash bands, which misses some (see RECALL); none is wrong.
 
     Equal sets are one class, so they fill no bucket. All pairs of classes in a bucket are verified, and what they give is
     a pair for all their members. With ``empty``, empty sets are chained as there; without, they match nothing.
@@ -125,7 +135,7 @@ def lsh_pairs(sets: DataFrame, threshold: float, verify: Column | None = None, w
     several = classes.filter("size(ids) > 1")
     # a table of its own, so that its size is known and a small one is broadcast instead of shuffling the sets
     further = ws.table(several.select(F.explode(F.slice("ids", F.lit(2), F.size("ids"))).alias("id")), "further")
-    bands = ws.table(minhash_bands(sets.join(further, "id", "left_anti")), "bands")
+    bands = ws.table(minhash_bands(sets.join(further, "id", "left_anti"), threshold), "bands")
     buckets = bands.groupBy("family", "band", "key").agg(F.sort_array(F.collect_set("id")).alias("ids")).filter("size(ids) > 1")
     # bands whose buckets have the same members give their pairs once
     candidates = _all_pairs(ws.table(buckets.select("family", "ids").distinct(), "buckets")).select("a", "b").distinct()

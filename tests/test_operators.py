@@ -65,6 +65,16 @@ def test_lsh_gives_all_pairs_of_a_bucket(spark, monkeypatch):
     assert rows(similarity.lsh_pairs(df, 0.9, strict)) == [r for r in want if r[0] < 30 and (r[2] == "fractal" or r[3] == 1)]
 
 
+def test_lsh_recall_at_the_threshold(spark):
+    # two sets of 99 that share 88 are alike to 0.8, those of 19 that share 18 to 0.9; no others share an item
+    for t, shared, own in ((0.8, 88, 11), (0.9, 18, 1)):
+        data = [(2 * i + side, "f", [f"{i}-{x}" for x in range(shared)] + [f"{i}-{side}-{x}" for x in range(own)]) for i in range(300) for side in (0, 1)]
+        df = spark.createDataFrame(data, "id long, family string, items array<string>")
+        exact, lsh = ({(r.a, r.b) for r in f(df, t).collect()} for f in (similarity.similar_pairs, similarity.lsh_pairs))
+        assert len(exact) == 300 and lsh <= exact and len(lsh) >= 0.9 * len(exact)
+    assert similarity.banding(0.8) == (32, 8) and all(b * r <= 256 for b, r in map(similarity.banding, (0.01, 0.5, 0.97, 1.0)))
+
+
 def test_components_agree_with_union_find(spark):
     rng = random.Random(3)
     edges = [(rng.randrange(80), rng.randrange(80)) for _ in range(60)] + [(i, i + 1) for i in range(200, 260)] + [(5, None), (7, 7)]
