@@ -20,6 +20,7 @@ from corpusloom.workspace import Workspace
 _TOKENS = re.compile(r"[A-Za-z0-9_]+|[=!<>:]=|[(){}\[\],=]")
 _OPENER = {")": "(", "}": "{", "]": "["}
 _SCHEMA = "id long, h1 long, h2 long, check long, n_words int"
+_KEYS = ["h1", "h2", "check", "n_words"]
 
 
 def _settle(frame: list) -> list[str]:
@@ -101,13 +102,12 @@ def canonical_hashes(records: DataFrame, id_col: str = "row_idx", text_col: str
 
 
 def copy_groups(hashes: DataFrame) -> DataFrame:
-    """One row per canonical text: ``first_id``, ``copies`` and whether the 128 bits collided.
+    """One row per canonical text: its hashes, ``first_id`` and ``copies``.
 
     The aggregation combines on the map side, so a text that a third of all rows share sends one row per task.
-    Texts that share 128 bits but not the check or the number of words are kept apart and flagged.
+    Texts that share 128 bits but not the check or the number of words are kept apart; :func:`collisions` finds them.
     """
-    exact = hashes.groupBy("h1", "h2", "check", "n_words").agg(F.min("id").alias("first_id"), F.count("*").alias("copies"))
-    return exact
+    return hashes.groupBy(*_KEYS).agg(F.min("id").alias("first_id"), F.count("*").alias("copies"))
 
 
 def collisions(groups: DataFrame) -> DataFrame:
@@ -123,8 +123,7 @@ def copies(records: DataFrame, id_col: str = "row_idx", text_col: str = "code",
     ws = ws or Workspace(records.sparkSession)
     hashes = ws.table(canonical_hashes(records, id_col, text_col), "hashes")
     groups = ws.table(copy_groups(hashes).filter("copies > 1"), "groups")
-    keys = ["h1", "h2", "check", "n_words"]
-    return attach(hashes, groups, keys, "copies").select("first_id", "id", "copies")
+    return attach(hashes, groups, _KEYS, "copies").select("first_id", "id", "copies")
 
 
 def p1_found(spark, sf_dir: str) -> DataFrame:
@@ -133,10 +132,15 @@ def p1_found(spark, sf_dir: str) -> DataFrame:
 
 
 def p1_groups(spark, sf_dir: str) -> DataFrame:
-    """One record for each program text, with its number of copies, how many code_hash values tell them apart, and how many of those are out of date."""
+    """One record for each program text, also one that stands once, with its number of copies, whether its 128 bits collided, how
+    many code_hash values tell the copies apart, and how many of those are out of date."""
     records = spark.read.parquet(f"{sf_dir}/records.parquet")
     ws = Workspace(spark)
-    found = copies(records, ws=ws)
+    hashes = ws.table(canonical_hashes(records), "hashes")
+    groups = ws.table(copy_groups(hashes), "groups")
+    clash = collisions(groups).select("h1", "h2", F.lit(True).alias("clash"))
+    flagged = ws.table(groups.join(clash, ["h1", "h2"], "left").select(*_KEYS, "first_id", "copies", F.col("clash").isNotNull().alias("collided")), "flagged")
+    found = attach(hashes, flagged, _KEYS, "copies").select("first_id", "id", "copies", "collided")
     stored = records.select(
         F.col("row_idx").alias("id"),
         F.lower("code_hash").alias("stored"),
@@ -144,8 +148,8 @@ def p1_groups(spark, sf_dir: str) -> DataFrame:
     )
     return (
         found.join(stored, "id")
-        .groupBy("first_id", "copies", "stored")
+        .groupBy("first_id", "copies", "collided", "stored")
         .agg(F.sum("stale").alias("stale"), F.count("*").alias("n"))
-        .groupBy(F.col("first_id").alias("first_row_idx"), "copies")
+        .groupBy(F.col("first_id").alias("first_row_idx"), "copies", "collided")
         .agg(F.count("stored").alias("stored_hashes"), F.coalesce(F.sum("stale"), F.lit(0)).alias("stale_hashes"))
     )

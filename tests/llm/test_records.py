@@ -69,6 +69,16 @@ def test_no_collisions_and_a_flagged_one(spark):
     assert groups.count() == 2 and canonical.collisions(groups).count() == 1
 
 
+def test_p1_groups_has_single_texts_and_the_flag(spark, tmp_path, monkeypatch):
+    rows = [(3, "n", "f(b=2, a=1)", 1.0), (5, "n", "f(a=1, b=2)", None), (8, "n", "alone", 1.0), (9, "n", "other", 1.0), (10, "n", None, 1.0)]
+    records(spark, rows).write.parquet(str(tmp_path / "records.parquet"))
+    got = lambda: {(r.first_row_idx, r.copies, r.collided) for r in canonical.p1_groups(spark, str(tmp_path)).collect()}
+    assert got() == {(3, 2, False), (8, 1, False), (9, 1, False)}
+    hashed = spark.createDataFrame([(3, 7, 7, 1, 2), (5, 7, 7, 1, 2), (8, 7, 7, 9, 2), (9, 7, 8, 1, 2)], "id long, h1 long, h2 long, check long, n_words int")
+    monkeypatch.setattr(canonical, "canonical_hashes", lambda *_: hashed)
+    assert got() == {(3, 2, True), (8, 1, True), (9, 1, False)}
+
+
 def test_match_groups(spark):
     pairs = [("A_1", " 'b_1' "), ("b_1", "ghost"), ("GHOST", '"c_1"'), ("d_1", "d_1"), ("e_1", None), (None, "e_1"), ("f_1", " "), ("g_1", "h_1"), ("g_1", "h_1")]
     pairs += [(f"chain{i:03d}", f"chain{i + 1:03d}") for i in range(60)]  # longer than the breadth-first levels
