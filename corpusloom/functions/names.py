@@ -81,6 +81,21 @@ def family_of_model(name: Column, code: Column) -> Column:
     return F.coalesce(*[F.when(name.startswith(cue), F.lit(tag)) for cue, tag in NAME_CUES], family_of_source(code))
 
 
+def resolved_path(c: Column, base: str = "/data") -> Column:
+    """A path in one spelling: no white space or ``file://`` around it, slashes for backslashes, absolute (relative
+    ones are under ``base``), with ``.``, ``..``, repeated and trailing slashes resolved. Null and blank are null."""
+    blank = r"^[\s\p{Z}\p{Cf}]+|[\s\p{Z}\p{Cf}]+$"
+    bare = F.regexp_replace(F.regexp_replace(F.regexp_replace(c, blank, ""), r"(?i)^file://", ""), blank, "")
+    slashed = F.translate(bare, "\\", "/")
+    whole = F.when(slashed.startswith("/"), slashed).otherwise(F.concat(F.lit(base + "/"), slashed))
+    kept = F.aggregate(
+        F.split(whole, "/"),
+        F.array().cast("array<string>"),
+        lambda acc, x: F.when(x.isin("", "."), acc).when(x == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0)))).otherwise(F.concat(acc, F.array(x))),
+    )
+    return F.when(slashed != "", F.concat(F.lit("/"), F.array_join(kept, "/")))
+
+
 def safe_filename(name: Column) -> Column:
     bare = F.regexp_replace(F.coalesce(name, F.lit("model")), r"^\s+|\s+$", "")
     kept = F.regexp_replace(F.regexp_replace(bare, " ", "_"), "[^a-zA-Z0-9._-]+", "")
@@ -98,13 +113,13 @@ def pick_name_column(columns: list[str]) -> str | None:
 
 
 def parse_upweights(specs: list[str]) -> list[tuple[str, float]]:
-    """``PREFIX:FACTOR`` rules; what isn't one, or has no positive factor, is ignored."""
+    """``PREFIX:FACTOR`` rules, in which the factor is a plain decimal above 0 and the prefix has no colon; others are ignored."""
     rules = []
     for spec in specs:
-        prefix, sep, factor = spec.rpartition(":")
-        try:
-            if sep and prefix.strip() and float(factor) > 0:
-                rules.append((prefix.strip(), float(factor)))
-        except ValueError:
-            continue
+        prefix, _, factor = spec.partition(":")
+        factor = factor.strip()
+        whole, _, rest = factor.rpartition(".")
+        plain = rest.isascii() and rest.isdigit() and (not whole or (whole.isascii() and whole.isdigit()))
+        if prefix and plain and float(factor) > 0:
+            rules.append((prefix.strip(), float(factor)))
     return rules

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions import pycode
+from corpusloom.functions.names import resolved_path
 from corpusloom.workspace import spread
 
 # The policy that every example begins with, in our own words for the same contract.
@@ -25,6 +26,8 @@ SMALL_FAMILIES = ("mobile", "vgg")
 TRICKS = ("label_smoothing", "cosine_lr", "mixup<=0.2", "cutmix<=0.2", "ema", "grad_clip<=3.0", "warmup<=500_iters", "dropout<=0.5", "stochastic_depth<=0.2")
 PARAMETER_BUCKETS = (100_000, 300_000, 800_000, 1_500_000, 3_000_000, 6_000_000, 12_000_000, 25_000_000, 50_000_000)
 ROLES = ("system", "user", "assistant")
+#: How a message is rendered: its role, then its content.
+TEMPLATE = "<|%s|>\n%s\n"
 
 META = "source_path string, group_key string, has_module boolean, family string, param_estimate bigint, class_names array<string>, calls array<string>, type string"
 ROW = f"id string, messages array<struct<role string, content string>>, meta struct<{META}>"
@@ -48,9 +51,9 @@ def prompt(family: Column, estimate: Column, key: Column, seed: int) -> Column:
     data = F.when(family.isin(*SMALL_FAMILIES), _pick(small, F.lit(seed), key)).otherwise(_pick(shown, F.lit(seed), key))
     drawn = F.array_sort(F.slice(F.transform(F.array_sort(F.transform(F.array(*map(F.lit, TRICKS)), lambda t: F.struct(F.xxhash64(F.lit(seed), key, t).alias("h"), t.alias("t")))), lambda x: x["t"]), 1, 3))
     return F.concat(
-        F.lit("Task: Design a PyTorch CV model for image classification.\nDataset: "), data, F.lit(", channels-first CxHxW).\nResource limits: params ≤ "), parameter_cap(estimate).cast("string"),
-        F.lit("; latency budget: tight (edge-friendly).\nConstraints: use standard layers only; no pretrained weights.\nAllowed training tricks (handled by trainer): "), F.array_join(drawn, ", "),
-        F.lit(".\nOutput contract: one Python code block defining a complete nn.Module (e.g., class Net(nn.Module))."),
+        F.lit("Write a PyTorch network that classifies images.\nData: "), data, F.lit(", channels first).\nIt may have up to "), parameter_cap(estimate).cast("string"),
+        F.lit(" parameters and must answer quickly on small devices.\nBuild it from standard layers, without pretrained weights.\nThe trainer may use: "), F.array_join(drawn, ", "),
+        F.lit(".\nAnswer with a single Python block that defines the whole nn.Module, for example class Net(nn.Module)."),
     )
 
 
@@ -129,13 +132,24 @@ def schema_reason(messages: Column) -> Column:
     return F.when(F.coalesce(F.size(messages), F.lit(0)) != 3, "bad_schema_len").when(~F.coalesce(roles == F.array(*map(F.lit, ROLES)), F.lit(False)), "bad_roles")
 
 
-def group_key(meta: Column, id_: Column) -> Column:
-    """The row's group, else its source, else one of its own."""
-    said = lambda c: F.when(F.trim(c) != "", c)
-    return F.coalesce(said(meta["group_key"]), said(meta["source_path"]), F.concat(F.lit("NA::"), id_))
+def group_key(meta: Column, id_: Column, base: str = "/data") -> Column:
+    """The row's group as it is written, else its resolved source (so two spellings of one path are one group), else one of its own."""
+    said = F.when(F.trim(meta["group_key"]) != "", meta["group_key"])
+    return F.coalesce(said, resolved_path(meta["source_path"], base), F.concat(F.lit("NA::"), id_))
 
 
-def rendered(rows: DataFrame, template: str = "<|%s|>\n%s\n") -> DataFrame:
+def fixed_answers(rows: DataFrame) -> DataFrame:
+    """``(id, messages)`` with every assistant message reduced to its first block, unparsed; the light validator for rows of any shape."""
+
+    def fix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            done = [None if ms is None else [m and {**m, "content": pycode.first_block(m["content"] or "") if m["role"] == "assistant" else m["content"]} for m in ms] for ms in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(done, pa.list_(pa.struct([("role", pa.string()), ("content", pa.string())])))], names=["id", "messages"])
+
+    return spread(rows.select("id", "messages")).mapInArrow(fix, "id string, messages array<struct<role string, content string>>")
+
+
+def rendered(rows: DataFrame, template: str = TEMPLATE) -> DataFrame:
     """``(id, prompt, assistant, meta)``: all but the last message by a local template; no foreign code is loaded."""
     shown = F.transform(F.slice("messages", F.lit(1), F.greatest(F.size("messages") - 1, F.lit(0))), lambda m: F.format_string(template, F.coalesce(m["role"], F.lit("")), F.coalesce(m["content"], F.lit(""))))
     return rows.select("id", F.concat(F.array_join(shown, ""), F.lit("<|assistant|>\n")).alias("prompt"), F.try_element_at("messages", F.lit(-1))["content"].alias("assistant"), "meta")

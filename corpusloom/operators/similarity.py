@@ -1,4 +1,7 @@
-"""Pairs of sets whose Jaccard similarity reaches a threshold: exactly, or retrieved by MinHash bands and verified."""
+"""Pairs of sets whose Jaccard similarity reaches a threshold: exactly, or retrieved by MinHash bands and verified.
+
+Equal sets of one family are one class, so results are links between classes and the members of each class.
+"""
 
 from __future__ import annotations
 
@@ -9,13 +12,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.operators import sketch
+from corpusloom.operators.skew import attach
 from corpusloom.workspace import Workspace
 
 _EPS = 1e-9
+_KEYS = ["family", "k1", "k2", "n"]
 #: Signature length, and the probability with which a pair just at the threshold is to be retrieved.
 PERMUTATIONS, RECALL = 256, 0.99
-#: Longer lists of ids are paired in blocks of so many.
-BLOCK = 256
 
 
 def jaccard(a: Column, b: Column) -> Column:
@@ -27,8 +31,72 @@ def jaccard(a: Column, b: Column) -> Column:
 def _written(sets: DataFrame, ws: Workspace) -> DataFrame:
     # items become 64-bit hashes, which take less room and are compared faster. Filters on the items come after this:
     # pushed below, they would work the items out once more for each of their elements
-    hashed = F.array_distinct(F.transform("items", lambda x: F.xxhash64(x))).alias("items")
-    return ws.table(sets.select("id", "family", hashed).filter("id is not null and family is not null"), "sets")
+    hashes = sets.schema["items"].dataType.simpleString() == "array<bigint>"
+    items = F.array_sort(F.array_distinct(F.col("items") if hashes else F.transform("items", lambda x: F.xxhash64(x))))
+    rows = ws.table(sets.select("id", "family", items.alias("items")).filter("id is not null and family is not null"), "sets")
+    return rows.filter("items is not null")
+
+
+def _classes(sets: DataFrame, ws: Workspace) -> tuple[DataFrame, DataFrame]:
+    """``members`` (id, family, class_id, copies) of the classes of equal sets, and the sets that stand for a class."""
+    keyed = sets.select("id", "family", F.xxhash64("items").alias("k1"), F.xxhash64(F.lit(1), "items").alias("k2"), F.size("items").alias("n"))
+    keyed = ws.table(keyed, "keys")
+    classes = ws.table(keyed.groupBy(*_KEYS).agg(F.min("id").alias("class_id"), F.count("*").alias("copies")), "classes")
+    several = attach(keyed, classes.filter("copies > 1"), _KEYS, "copies").select("id", "family", "class_id", "copies")
+    single = classes.filter("copies = 1").select(F.col("class_id").alias("id"), "family", "class_id", "copies")
+    members = ws.table(several.unionByName(single), "members")
+    # a table of its own, so that its size is known and a small one is broadcast instead of shuffling the sets
+    further = ws.table(members.filter("id <> class_id").select("id"), "further")
+    return members, sets.join(further, "id", "left_anti")
+
+
+def _numbers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and values of a column of lists of 64-bit hashes."""
+    sizes = np.diff(np.asarray(column.offsets)).astype(np.int64)
+    return np.concatenate([[0], np.cumsum(sizes)]), np.asarray(column.flatten()).astype(np.int64).view(np.uint64)
+
+
+def _frequencies(sets: DataFrame, ws: Workspace):
+    n_bits = sketch.count_bits(sets.count())
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = np.zeros(1 << n_bits, np.uint32)
+        seen = False
+        for batch in batches:
+            seen |= batch.num_rows > 0
+            sketch.count_into(cells, _numbers(batch.column(0))[1])
+        if seen:
+            yield sketch.as_batch(cells)
+
+    return sets.sparkSession.sparkContext.broadcast(sketch.frequencies(sets.select("items").mapInArrow(count, sketch.SCHEMA)))
+
+
+def _prefixes(sets: DataFrame, sent, threshold: float) -> DataFrame:
+    """``(key, side, family, id, n, pos)``: the rarest n - ceil(threshold * n) + 1 items of each set with their places, hot ones split."""
+    id_type = sets.schema["id"].dataType.simpleString()
+    block_rows = sketch.BLOCK_ROWS
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = sent.value
+        for batch in batches:
+            offsets, hashes = _numbers(batch.column(2))
+            sizes = np.diff(offsets)
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            rank = seen.rank(hashes)
+            order = np.lexsort((hashes, rank, row))
+            place = np.arange(len(order)) - np.repeat(offsets[:-1], sizes)
+            keep = place < np.repeat(sizes - np.ceil(threshold * sizes - _EPS).astype(np.int64) + 1, sizes)
+            row, place, order = row[keep], place[keep], order[keep]
+            own = np.asarray(batch.column(3))
+            at, key, side = sketch.split_within(hashes[order].view(np.int64), own[row].view(np.uint64), seen.blocks(rank[order], block_rows))
+            take = pa.array(row[at])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key), pa.array(side.astype(np.int8)), batch.column(1).take(take), batch.column(0).take(take), pa.array(sizes[row[at]].astype(np.int32)), pa.array(place[at].astype(np.int32))],
+                names=["key", "side", "family", "id", "n", "pos"],
+            )
+
+    rows = sets.select("id", "family", "items", F.xxhash64("id").alias("own"))
+    return rows.mapInArrow(cut, f"key long, side tinyint, family string, id {id_type}, n int, pos int")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: float | Column) -> DataFrame:
@@ -38,32 +106,64 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float | Column) -> D
     return both.filter(F.col("similarity") >= threshold - _EPS).select("a", "b", "family", "similarity")
 
 
-def _empty_pairs(sets: DataFrame) -> DataFrame:
-    """Empty sets of one family are all alike: each is paired with the smallest, which links them without all pairs."""
-    none = sets.filter(F.size("items") == 0)
-    first = none.groupBy("family").agg(F.min("id").alias("a"))
-    return none.join(first, "family").filter("id <> a").select("a", F.col("id").alias("b"), "family", F.lit(1.0).alias("similarity"))
-
+def similar_classes(sets: DataFrame, threshold: float, verify: Column | None = None, ws: Workspace | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(members, links)`` for rows ``(id, family, items)``, by an exact prefix-filter join within each family.
 
-def similar_pairs(sets: DataFrame, threshold: float, verify: Column | None = None, ws: Workspace | None = None) -> DataFrame:
-    """``(a, b, family, similarity)``, a < b, for rows ``(id, family, items)`` of one family, by an exact prefix-filter join.
-
-    Items are hashed to 64 bits and ordered by how many sets have them, the rarest first. Two sets that reach the threshold
-    share one of their first n - ceil(threshold * n) + 1 items, so only those are joined, under a length filter; what
-    they give is verified on whole sets. ``verify`` is a stricter threshold for some rows. Empty sets of a family
-    are chained to the smallest of them. Null families and ids match nothing.
+    ``members`` has ``(id, family, class_id, copies)``: the class of equal sets of each row, by its smallest id; empty sets
+    of a family are a class too. ``links`` has ``(a, b, family, similarity)``, a < b, for classes that reach the threshold.
+    Items are hashed to 64 bits (arrays of longs are taken as they are) and ordered by how often they occur, the
+    rarest first, for which a sketch will do: any order is right. Two sets that reach the threshold share one of their first
+    n - ceil(threshold * n) + 1 items at places that leave room for the rest, so only those are joined; what they give is
+    verified on whole sets. An item that many sets may have is split into blocks. ``verify`` is a stricter threshold
+    for some rows. Rows with a null family, id or set match nothing.
     """
     ws = ws or Workspace(sets.sparkSession)
-    sets = _written(sets, ws).filter("items is not null")
-    hashed = sets.select("id", "family", F.size("items").alias("n"), F.explode_outer("items").alias("h")).filter("h is not null")
-    frequency = hashed.groupBy("h").agg(F.count("*").alias("df"))
-    ordered = hashed.join(frequency, "h").groupBy("id", "family", "n").agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("o"))
-    keep = (F.col("n") - F.ceil(F.col("n") * threshold - _EPS) + 1).cast("int")
-    prefix = ws.table(ordered.select("id", "family", "n", F.explode(F.slice("o", F.lit(1), keep)).alias("e")).select("id", "family", "n", "e.h"), "prefix")
-    left, right = prefix.toDF("a", "family", "na", "h"), prefix.toDF("b", "family", "nb", "h")
-    near = F.least("na", "nb") >= F.greatest("na", "nb") * threshold - _EPS
-    pairs = left.join(right, ["family", "h"]).filter((F.col("a") < F.col("b")) & near).select("a", "b").distinct()
-    return _verified(pairs, sets, F.lit(threshold) if verify is None else verify).unionByName(_empty_pairs(sets))
+    members, reps = _classes(_written(sets, ws), ws)
+    reps = reps.filter("size(items) > 0")
+    prefix = _prefixes(reps, _frequencies(reps, ws), threshold)
+    left, right = prefix.toDF("key", "sa", "family", "a", "na", "i"), prefix.toDF("key", "sb", "family", "b", "nb", "j")
+    na, nb, i, j = (F.col(c) for c in ("na", "nb", "i", "j"))
+    required = F.ceil((na + nb) * (threshold / (1 + threshold)) - _EPS)
+    near = (F.least(na, nb) >= F.greatest(na, nb) * threshold - _EPS) & (F.least(i, j) + F.least(na - i, nb - j) >= required)
+    meet = (F.col("sa") == 2) | (F.col("sa") != F.col("sb"))
+    # what two prefixes don't share must lie in the rest of one of them
+    rest = lambda n: F.ceil(n * threshold - _EPS) - 1
+    need = F.greatest(F.lit(1), required - F.greatest(rest(na), rest(nb))).cast("int")
+    hits = left.join(right, ["family", "key"]).filter((F.col("a") < F.col("b")) & near & meet).select("a", "b", need.alias("need"))
+    pairs = hits.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("need").alias("need")).filter("shared >= need").select("a", "b")
+    return members, ws.table(_verified(ws.table(pairs, "candidates"), reps, F.lit(threshold) if verify is None else verify), "links")
+
+
+def chained(members: DataFrame, links: DataFrame) -> DataFrame:
+    """``(a, b)``: the links, and each member with its class; the graph whose components are groups of similar rows."""
+    return links.select("a", "b").unionByName(members.filter("id <> class_id").select(F.col("class_id").alias("a"), F.col("id").alias("b")))
+
+
+def all_pairs(members: DataFrame, links: DataFrame) -> DataFrame:
+    """``(a, b, similarity)``, a < b, for all pairs of rows: of one class, and of every two linked classes.
+
+    Large classes are split into blocks, so no task gets all pairs of one. For callers whose result is the pairs themselves.
+    """
+    block = sketch.BLOCK_ROWS
+    n = F.greatest(F.lit(1), F.ceil(F.col("copies") / block)).cast("int")
+    m = members.select("class_id", "id", n.alias("nb"), F.pmod(F.xxhash64("id"), n).cast("int").alias("own"))
+    inside = members.filter("copies > 1").select("class_id", "id", n.alias("nb"), F.pmod(F.xxhash64("id"), n).cast("int").alias("own"))
+    left = inside.select("class_id", F.col("id").alias("x"), F.col("own").alias("i"), F.explode(F.sequence(F.col("own"), F.col("nb") - 1)).alias("j"))
+    right = inside.select("class_id", F.col("id").alias("y"), F.col("own").alias("j"), F.explode(F.sequence(F.lit(0), "own")).alias("i"))
+    same = left.join(right, ["class_id", "i", "j"]).filter("i < j or x < y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.lit(1.0).alias("similarity"))
+    parts = members.filter("id = class_id").select("class_id", n.alias("nb"))
+    split = links.join(parts.toDF("a", "na"), "a").join(parts.toDF("b", "nb"), "b").select("a", "b", "similarity", F.explode(F.sequence(F.lit(0), F.col("na") - 1)).alias("i"), "nb")
+    split = split.select("a", "b", "similarity", "i", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("j"))
+    across = split.join(m.select(F.col("class_id").alias("a"), F.col("own").alias("i"), F.col("id").alias("x")), ["a", "i"]).join(m.select(F.col("class_id").alias("b"), F.col("own").alias("j"), F.col("id").alias("y")), ["b", "j"])
+    return same.unionByName(across.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "similarity"))
+
+
+def class_rows(members: DataFrame, links: DataFrame, ws: Workspace) -> DataFrame:
+    """``(id, class_id, copies, links)`` for every row: its class and how many other classes that is linked with."""
+    degree = links.select(F.explode(F.array("a", "b")).alias("class_id")).groupBy("class_id").agg(F.count("*").alias("links"))
+    heads = members.filter("id = class_id").select("class_id", F.col("copies").alias("k")).join(degree, "class_id", "left")
+    heads = ws.table(heads.select("class_id", "k", F.coalesce("links", F.lit(0)).alias("links")), "heads")
+    return attach(members, heads, ["class_id"], "k").select("id", "class_id", "copies", "links")
 
 
 def banding(threshold: float) -> tuple[int, int]:
@@ -85,8 +185,9 @@ def minhash_bands(sets: DataFrame, threshold: float, seed: int = 1) -> DataFrame
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = []
-            for hashes in batch.column(2).to_pylist():
-                h = np.array(hashes, np.int64).view(np.uint64)
+            offsets, values = _numbers(batch.column(2))
+            for start, end in zip(offsets, offsets[1:]):
+                h = values[start:end]
                 low = np.full(PERMUTATIONS, np.iinfo(np.uint64).max, np.uint64)
                 for at in range(0, len(h), 4096):
                     low = np.minimum(low, (h[at : at + 4096, None] * a + b).min(0))
@@ -104,45 +205,25 @@ def minhash_bands(sets: DataFrame, threshold: float, seed: int = 1) -> DataFrame
     return rows.mapInArrow(sign, f"id {id_type}, family string, band int, key long")
 
 
-def _all_pairs(groups: DataFrame) -> DataFrame:
-    """``(family, a, b)``, a < b, of all ids that share a list of ``(family, ids)``, whose ids are sorted and distinct.
+def bucket_pairs(bands: DataFrame, ws: Workspace) -> DataFrame:
+    """``(a, b)``, a < b, of all ids that share a bucket ``(family, band, key)`` of a written table; large buckets are split into blocks."""
+    keys = ["family", "band", "key"]
+    sizes = ws.table(bands.groupBy(*keys).agg(F.count("*").alias("k")).filter("k > 1"), "buckets")
+    nb = F.ceil(F.col("k") / sketch.BLOCK_ROWS).cast("int")
+    rows = ws.table(attach(bands, sizes, keys, "k").select(*keys, "id", nb.alias("nb"), F.pmod(F.xxhash64("id"), nb).cast("int").alias("own")), "bucketed")
+    left = rows.select(*keys, F.col("id").alias("x"), F.col("own").alias("i"), F.explode(F.sequence(F.col("own"), F.col("nb") - 1)).alias("j"))
+    right = rows.select(*keys, F.col("id").alias("y"), F.col("own").alias("j"), F.explode(F.sequence(F.lit(0), "own")).alias("i"))
+    return left.join(right, [*keys, "i", "j"]).filter("i < j or x < y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
-    A list longer than BLOCK is cut into blocks, and every pair of blocks goes to a task of its own.
-    """
-    last = ((F.size("ids") - 1) / BLOCK).cast("int")
-    parts = groups.select("family", "ids", last.alias("last")).select("family", "ids", "last", F.explode(F.sequence(F.lit(0), "last")).alias("i"))
-    parts = parts.select("family", "ids", "last", "i", F.explode(F.sequence("i", "last")).alias("j"))
-    block = lambda at: F.slice("ids", F.col(at) * BLOCK + 1, F.lit(BLOCK))
-    parts = parts.select("family", "last", "i", "j", block("i").alias("left"), block("j").alias("right"))
-    shuffled = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = parts.filter("last = 0").unionByName(parts.filter("last > 0").repartition(shuffled, "i", "j"))
-    return spread.select("family", "right", F.explode("left").alias("a")).select("family", "a", F.explode("right").alias("b")).filter("a < b")
 
+def lsh_classes(sets: DataFrame, threshold: float, verify: Column | None = None, ws: Workspace | None = None) -> tuple[DataFrame, DataFrame]:
+    """Like :func:`similar_classes`, but candidates are retrieved by MinHash bands, which misses some links (see RECALL); none is wrong.
 
-def lsh_pairs(sets: DataFrame, threshold: float, verify: Column | None = None, ws: Workspace | None = None, empty: bool = False) -> DataFrame:
-    """Like :func:`similar_pairs`, but candidates are retrieved by MinHash bands, which misses some (see RECALL); none is wrong.
-
-    Equal sets are one class, so they fill no bucket. All pairs of classes in a bucket are verified, and what they give is
-    a pair for all their members. With ``empty``, empty sets are chained as there; without, they match nothing.
+    All pairs of classes in a bucket are verified.
     """
     ws = ws or Workspace(sets.sparkSession)
-    every = _written(sets, ws)
-    sets = every.filter("size(items) > 0")
-    verify = F.lit(threshold) if verify is None else verify
-    equal = F.sort_array("items")
-    alike = sets.groupBy("family", F.xxhash64(equal).alias("h1"), F.xxhash64(F.lit(1), equal).alias("h2")).agg(F.sort_array(F.collect_set("id")).alias("ids"))
-    classes = ws.table(alike.select(F.col("ids")[0].alias("id"), "family", "ids"), "classes")
-    several = classes.filter("size(ids) > 1")
-    # a table of its own, so that its size is known and a small one is broadcast instead of shuffling the sets
-    further = ws.table(several.select(F.explode(F.slice("ids", F.lit(2), F.size("ids"))).alias("id")), "further")
-    bands = ws.table(minhash_bands(sets.join(further, "id", "left_anti"), threshold), "bands")
-    buckets = bands.groupBy("family", "band", "key").agg(F.sort_array(F.collect_set("id")).alias("ids")).filter("size(ids) > 1")
-    # bands whose buckets have the same members give their pairs once
-    candidates = _all_pairs(ws.table(buckets.select("family", "ids").distinct(), "buckets")).select("a", "b").distinct()
-    links = _verified(candidates, sets, verify)
-    left, right = classes.select(F.col("id").alias("a"), F.col("ids").alias("left")), classes.select(F.col("id").alias("b"), F.col("ids").alias("right"))
-    across = links.join(left, "a").join(right, "b").select("family", "similarity", "right", F.explode("left").alias("x")).select("family", "similarity", "x", F.explode("right").alias("y"))
-    across = across.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "family", "similarity")
-    within = _all_pairs(several).select("a", "b", "family", F.lit(1.0).alias("similarity")).filter(F.col("similarity") >= verify - _EPS)
-    pairs = across.unionByName(within)
-    return pairs.unionByName(_empty_pairs(every)) if empty else pairs
+    members, reps = _classes(_written(sets, ws), ws)
+    reps = reps.filter("size(items) > 0")
+    bands = ws.table(minhash_bands(reps, threshold), "bands")
+    candidates = ws.table(bucket_pairs(bands, ws), "candidates")
+    return members, ws.table(_verified(candidates, reps, F.lit(threshold) if verify is None else verify), "links")

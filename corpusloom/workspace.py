@@ -45,10 +45,21 @@ def ship(spark: SparkSession) -> None:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """``df`` over all cores before work that is heavy on them; only an input of fewer parts than cores, such as one small file, is shuffled."""
-    ship(df.sparkSession)
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    """``df`` over all cores before work that is heavy on them; only an input that may lie in fewer parts than cores is shuffled.
+
+    A plain scan says how many parts it has. After a shuffle that would have to be run first, so there the size of what is
+    read decides: below one full part for each core, rows may come in fewer.
+    """
+    spark = df.sparkSession
+    ship(spark)
+    cores = spark.sparkContext.defaultParallelism
+    query = df._jdf.queryExecution()
+    if "Exchange" not in query.executedPlan().toString():
+        return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    leaves = query.optimizedPlan().collectLeaves()
+    read = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    part = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    return df.repartition(cores) if read < cores * part else df
 
 
 class Workspace:
