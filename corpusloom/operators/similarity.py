@@ -139,23 +139,36 @@ def chained(members: DataFrame, links: DataFrame) -> DataFrame:
     return links.select("a", "b").unionByName(members.filter("id <> class_id").select(F.col("class_id").alias("a"), F.col("id").alias("b")))
 
 
+def _blocks(copies: Column) -> Column:
+    return F.greatest(F.lit(1), F.ceil(copies / sketch.BLOCK_ROWS)).cast("int")
+
+
+def across(links: DataFrame, left: DataFrame, right: DataFrame, left_sizes: DataFrame, right_sizes: DataFrame) -> DataFrame:
+    """``links`` (a, b, ...) with ``x`` and ``y``: every row of class a in ``left`` with every one of class b in ``right``.
+
+    Rows are ``(class_id, id, copies)``, sizes ``(class_id, copies)`` for each class. Large classes are split into blocks, so no
+    task gets all pairs of two.
+    """
+    n = _blocks(F.col("copies"))
+    rows = lambda side, c, own, id_: side.select(F.col("class_id").alias(c), F.pmod(F.xxhash64("id"), n).cast("int").alias(own), F.col("id").alias(id_))
+    split = links.join(left_sizes.select(F.col("class_id").alias("a"), n.alias("_na")), "a").join(right_sizes.select(F.col("class_id").alias("b"), n.alias("_nb")), "b")
+    split = split.withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_na") - 1))).withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)))
+    return split.join(rows(left, "a", "_i", "x"), ["a", "_i"]).join(rows(right, "b", "_j", "y"), ["b", "_j"]).drop("_i", "_j", "_na", "_nb")
+
+
 def all_pairs(members: DataFrame, links: DataFrame) -> DataFrame:
     """``(a, b, similarity)``, a < b, for all pairs of rows: of one class, and of every two linked classes.
 
-    Large classes are split into blocks, so no task gets all pairs of one. For callers whose result is the pairs themselves.
+    Large classes are split into blocks. For callers whose result is the pairs themselves.
     """
-    block = sketch.BLOCK_ROWS
-    n = F.greatest(F.lit(1), F.ceil(F.col("copies") / block)).cast("int")
-    m = members.select("class_id", "id", n.alias("nb"), F.pmod(F.xxhash64("id"), n).cast("int").alias("own"))
+    n = _blocks(F.col("copies"))
     inside = members.filter("copies > 1").select("class_id", "id", n.alias("nb"), F.pmod(F.xxhash64("id"), n).cast("int").alias("own"))
     left = inside.select("class_id", F.col("id").alias("x"), F.col("own").alias("i"), F.explode(F.sequence(F.col("own"), F.col("nb") - 1)).alias("j"))
     right = inside.select("class_id", F.col("id").alias("y"), F.col("own").alias("j"), F.explode(F.sequence(F.lit(0), "own")).alias("i"))
-    same = left.join(right, ["class_id", "i", "j"]).filter("i < j or x < y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.lit(1.0).alias("similarity"))
-    parts = members.filter("id = class_id").select("class_id", n.alias("nb"))
-    split = links.join(parts.toDF("a", "na"), "a").join(parts.toDF("b", "nb"), "b").select("a", "b", "similarity", F.explode(F.sequence(F.lit(0), F.col("na") - 1)).alias("i"), "nb")
-    split = split.select("a", "b", "similarity", "i", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("j"))
-    across = split.join(m.select(F.col("class_id").alias("a"), F.col("own").alias("i"), F.col("id").alias("x")), ["a", "i"]).join(m.select(F.col("class_id").alias("b"), F.col("own").alias("j"), F.col("id").alias("y")), ["b", "j"])
-    return same.unionByName(across.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "similarity"))
+    same = left.join(right, ["class_id", "i", "j"]).filter("i < j or x < y").select("x", "y", F.lit(1.0).alias("similarity"))
+    rows, sizes = members.select("class_id", "id", "copies"), members.filter("id = class_id").select("class_id", "copies")
+    both = same.unionByName(across(links.select("a", "b", "similarity"), rows, rows, sizes, sizes).select("x", "y", "similarity"))
+    return both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "similarity")
 
 
 def class_rows(members: DataFrame, links: DataFrame, ws: Workspace) -> DataFrame:
