@@ -13,8 +13,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.neardup import _KEYS, frequency_ranks, set_keys, verified
+from corpusloom.llm.neardup import _KEYS, frequencies, set_keys, verified
 from corpusloom.llm.shingles import chunks, shingle_sets
+from corpusloom.operators import similarity, sketch
 from corpusloom.operators.skew import attach
 from corpusloom.workspace import Workspace
 
@@ -33,22 +34,29 @@ def assistant_content(messages: Column) -> Column:
     return F.when(F.size(said) > 0, F.array_join(F.transform(said, lambda m: m["content"]), "\n"))
 
 
-def _prefixes(texts: DataFrame, ranks, k: int, threshold: float) -> DataFrame:
-    """``(shingle, cid, n, pos)``: the rarest n - ceil(threshold * n) + 1 shingles of each text with their places."""
+def _prefixes(texts: DataFrame, sent, k: int, threshold: float, index: bool) -> DataFrame:
+    """``(shingle, cid, n, pos)``: the rarest n - ceil(threshold * n) + 1 shingles of each text with their places.
+
+    A shingle that many texts may have is split, differently for the index and for what probes it, so that each pair meets once.
+    """
+    block_rows = sketch.BLOCK_ROWS
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = sent.value
         for batch in batches:
             ids, found = np.asarray(batch.column(0)), batch.column(1).to_pylist()
             for a, b in chunks(found):
                 offsets, hashes = shingle_sets(found[a:b], k)
                 sizes = np.diff(offsets)
                 row = np.repeat(np.arange(b - a), sizes)
-                rank = ranks.value[(hashes & np.uint64(len(ranks.value) - 1)).astype(np.int64)]
+                rank = seen.rank(hashes)
                 order = np.lexsort((hashes, rank, row))
                 place = np.arange(len(order)) - np.repeat(offsets[:-1], sizes)
                 keep = place < np.repeat(sizes - np.ceil(threshold * sizes - _EPS).astype(np.int64) + 1, sizes)
+                row, place, order = row[keep], place[keep], order[keep]
+                at, key = sketch.split_across(hashes[order].view(np.int64), ids[a:b][row], seen.blocks(rank[order], block_rows), index)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes[order][keep].view(np.int64)), pa.array(ids[a:b][row[keep]]), pa.array(sizes[row[keep]].astype(np.int32)), pa.array(place[keep].astype(np.int32))],
+                    [pa.array(key), pa.array(ids[a:b][row[at]]), pa.array(sizes[row[at]].astype(np.int32)), pa.array(place[at].astype(np.int32))],
                     names=["shingle", "cid", "n", "pos"],
                 )
 
@@ -61,22 +69,29 @@ def cross_split_links(rows: DataFrame, k: int = 5, threshold: float = 0.8, ws: W
     ``members`` has ``(cid, id, held)`` for every distinct row with at least k words, where cid is the class of the
     texts with one and the same shingle set; ``links`` has ``(eval_cid, train_cid, jaccard)`` for every class of
     held-out rows and class of training rows whose similarity reaches the threshold, one that holds both
-    included. The join is exact: the order of shingles by frequency is a fixed-size sketch over all rows, and
-    any order is right for a prefix filter. Rows with a null id, side or text have no part; nothing is capped.
+    included. An id may stand on both sides, or with several texts; each of its rows counts. The join is exact: the order of
+    shingles by frequency is a sketch of bounded size over all rows, and any order is right for a prefix filter. Rows with a
+    null id, side or text have no part; nothing is capped.
     """
     spark = rows.sparkSession
     ws = ws or Workspace(spark)
-    rows = rows.select("id", "held", "text").dropna()
-    first = ws.table(set_keys(rows.select(F.concat(F.when(F.col("held"), "e").otherwise("t"), "id").alias("id"), "text"), k, "string"), "sets")
-    ranks = frequency_ranks(first)
-    keyed = first.filter("chunk is null").select(F.substring("id", 2, 2**31 - 1).alias("id"), (F.substring("id", 1, 1) == "e").alias("held"), *_KEYS).distinct()
-    sides = keyed.groupBy(*_KEYS).agg(F.min("id").alias("rep"), F.max("held").alias("in_eval"), (~F.min("held")).alias("in_train"), F.count("*").alias("rows"))
+    total = rows.count()
+    # one id may stand on both sides, or more than once with other texts: side, text and id together tell rows apart
+    name = F.concat(F.when(F.col("held"), "e").otherwise("t"), F.hex(F.xxhash64("text")), F.lit(":"), "id")
+    rows = rows.select("id", "held", "text").dropna().withColumn("name", name)
+    first = ws.table(set_keys(rows.select(F.col("name").alias("id"), "text"), k, sketch.count_bits(total), "string"), "sets")
+    ranks = frequencies(first)
+    keyed = ws.table(first.filter("chunk is null").select(F.col("id").alias("name"), *_KEYS).distinct(), "keys")
+    held = F.substring("name", 1, 1) == "e"
+    sides = keyed.groupBy(*_KEYS).agg(F.min("name").alias("rep"), F.max(held).alias("in_eval"), (~F.min(held)).alias("in_train"), F.count("*").alias("rows"))
     classes = ws.table(sides.withColumn("cid", F.monotonically_increasing_id()), "classes")
-    members = ws.table(attach(keyed, classes.select(*_KEYS, "cid", "rows"), _KEYS, "rows").select("cid", "id", "held"), "members")
-    reps = classes.select(F.col("rep").alias("id"), "cid", "in_eval", "in_train")
+    own = F.expr("substring(name, locate(':', name) + 1)")
+    members = attach(keyed, classes.select(*_KEYS, "cid", "rows"), _KEYS, "rows").select("cid", own.alias("id"), held.alias("held")).distinct()
+    members = ws.table(members, "members")
+    reps = classes.select(F.col("rep").alias("name"), "cid", "in_eval", "in_train")
     texts = _class_texts(rows, reps, ws)
-    index = _prefixes(texts.filter("in_eval").select("cid", "text"), ranks, k, threshold).toDF("shingle", "a", "na", "i")
-    probe = _prefixes(texts.filter("in_train").select("cid", "text"), ranks, k, threshold).toDF("shingle", "b", "nb", "j")
+    index = _prefixes(texts.filter("in_eval").select("cid", "text"), ranks, k, threshold, True).toDF("shingle", "a", "na", "i")
+    probe = _prefixes(texts.filter("in_train").select("cid", "text"), ranks, k, threshold, False).toDF("shingle", "b", "nb", "j")
     na, nb, i, j = (F.col(c) for c in ("na", "nb", "i", "j"))
     required = F.ceil((na + nb) * (threshold / (1 + threshold)) - _EPS)
     rest = lambda n: n - (n - F.ceil(n * threshold - _EPS) + 1)
@@ -93,8 +108,8 @@ def cross_split_links(rows: DataFrame, k: int = 5, threshold: float = 0.8, ws: W
 
 
 def _class_texts(rows: DataFrame, reps: DataFrame, ws: Workspace) -> DataFrame:
-    """``(cid, in_eval, in_train, text)``, one text for each class."""
-    found = rows.select("id", "text").join(reps.select("id", "cid", "in_eval", "in_train"), "id")
+    """``(cid, in_eval, in_train, text)``, one text for each class; a row that is repeated as a whole counts once."""
+    found = rows.select("name", "text").join(reps, "name")
     return ws.table(found.dropDuplicates(["cid"]), "texts").select("cid", "in_eval", "in_train", "text")
 
 
@@ -105,12 +120,17 @@ def _chat(spark, sf_dir: str) -> DataFrame:
 
 
 def p3_found(spark, sf_dir: str) -> DataFrame:
+    ws = Workspace(spark)
     rows = _chat(spark, sf_dir).select("id", (F.col("split") != "train").alias("held"), "text")
-    members, links = cross_split_links(rows, k=3, threshold=0.7)
-    held = members.filter("held").select(F.col("cid").alias("eval_cid"), F.col("id").alias("e"))
-    train = members.filter("not held").select(F.col("cid").alias("train_cid"), F.col("id").alias("t"))
-    both = links.join(held, "eval_cid").join(train, "train_cid").filter("e <> t")
-    return both.select(F.least("e", "t").alias("id_a"), F.greatest("e", "t").alias("id_b")).distinct()
+    members, links = cross_split_links(rows, k=3, threshold=0.7, ws=ws)
+    sides = []
+    for side in ("held", "not held"):
+        own = members.filter(side).select(F.col("cid").alias("class_id"), "id")
+        sizes = ws.table(own.groupBy("class_id").agg(F.count("*").alias("copies")), "sizes")
+        sides.append((attach(own, sizes, ["class_id"], "copies"), sizes))
+    (held, held_sizes), (train, train_sizes) = sides
+    both = similarity.across(links.select(F.col("eval_cid").alias("a"), F.col("train_cid").alias("b")), held, train, held_sizes, train_sizes)
+    return both.filter("x <> y").select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b")).distinct()
 
 
 def p3_report(spark, sf_dir: str) -> DataFrame:

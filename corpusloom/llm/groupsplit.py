@@ -6,35 +6,20 @@ assignment of the groups that keeps every split's distribution of labels close t
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.functions.names import resolved_path
 from corpusloom.operators.components import bipartite_components
 from corpusloom.operators.skew import attach
 from corpusloom.workspace import Workspace
 
 SPLITS = (("train", 0.8), ("dev", 0.1), ("test", 0.1))
-#: Groups of more rows than a BIG_SHARE-th of all are placed one by one; there are at most BIG_SHARE of them.
-BIG_SHARE = 2_000
-#: Small groups are cut by this many slots of their hash in each stratum.
-SLOTS = 512
-#: Families beyond this number share one stratum, so the table of slots stays bounded.
-MAX_STRATA = 200
-
-
-def resolved_path(c: Column, base: str = "/data") -> Column:
-    """A path in one spelling: no white space or ``file://`` around it, slashes for backslashes, absolute (relative
-    ones are under ``base``), with ``.``, ``..``, repeated and trailing slashes resolved. Null and blank are null."""
-    blank = r"^[\s\p{Z}\p{Cf}]+|[\s\p{Z}\p{Cf}]+$"
-    bare = F.regexp_replace(F.regexp_replace(F.regexp_replace(c, blank, ""), r"(?i)^file://", ""), blank, "")
-    slashed = F.translate(bare, "\\", "/")
-    whole = F.when(slashed.startswith("/"), slashed).otherwise(F.concat(F.lit(base + "/"), slashed))
-    kept = F.aggregate(
-        F.split(whole, "/"),
-        F.array().cast("array<string>"),
-        lambda acc, x: F.when(x.isin("", "."), acc).when(x == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0)))).otherwise(F.concat(acc, F.array(x))),
-    )
-    return F.when(slashed != "", F.concat(F.lit("/"), F.array_join(kept, "/")))
+#: Groups of one family and size class are put together by this many slots of their hash.
+SLOTS = 64
+#: Families too small to keep the shares are placed together in pools of about so many rows.
+POOL_ROWS = 20_000
 
 
 def entities(chat: DataFrame) -> DataFrame:
@@ -56,58 +41,45 @@ def related_groups(rows: DataFrame, ws: Workspace | None = None) -> DataFrame:
 def assigned_splits(rows: DataFrame, groups: DataFrame, splits=SPLITS, ws: Workspace | None = None) -> DataFrame:
     """``(id, first_id, family, split)`` for rows ``(id, family)``; a row without a group is a group of its own.
 
-    Every group gets one split. Groups count in the family that most of their rows have. The at most BIG_SHARE
-    largest groups are placed by descending size, each where it leaves the least deviation in its family and
-    overall. The others are ordered by a hash, and in each family the slots of that order are cut where the
-    splits reach what they lack; that table has at most MAX_STRATA * SLOTS rows. So the deviation in a family
-    is about a slot's rows once no single group is larger. Null families are one family.
+    Every group gets one split and counts in the family that most of its rows have. Within a family, groups are put together by
+    size class (powers of two) and by SLOTS hash slots, so a family has at most 64 * SLOTS units, whatever its size, and a
+    large group is a unit of its own. Its units are placed by one task, the largest first, each where it adds least to the
+    family's squared deviation from the shares; so a family deviates from the shares by no more than its smallest units, unless one group alone is too
+    large. Families of fewer rows than one in the smallest share can't keep the shares and are placed together.
+    Null and blank families are one family.
     """
-    spark = rows.sparkSession
-    ws = ws or Workspace(spark)
+    ws = ws or Workspace(rows.sparkSession)
     family = F.coalesce(F.nullif(F.lower(F.trim("family")), F.lit("")), F.lit("unknown"))
     # a row may be delivered twice
     base = rows.filter("id is not null").groupBy("id").agg(F.min(family).alias("family"), F.count("*").alias("weight"))
     table = ws.table(base.join(groups, "id", "left").select("id", F.coalesce("first_id", "id").alias("first_id"), "family", "weight"), "rows")
     per = table.groupBy("first_id", "family").agg(F.sum("weight").alias("n"), F.count("*").alias("ids"))
-    facts = ws.table(
-        per.groupBy("first_id").agg(F.sum("n").alias("n"), F.sum("ids").alias("ids"), F.max_by("family", F.struct("n", "family")).alias("stratum")), "groups"
-    )
-    strata = [r.stratum for r in facts.groupBy("stratum").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "stratum").limit(MAX_STRATA - 1).collect()]
-    facts = facts.withColumn("stratum", F.when(F.col("stratum").isin(strata), F.col("stratum")).otherwise("other families")) if strata else facts
-    totals = {r.stratum: r.n for r in facts.groupBy("stratum").agg(F.sum("n").alias("n")).collect()}
-    big_from = sum(totals.values()) / BIG_SHARE
+    facts = per.groupBy("first_id").agg(F.sum("n").alias("n"), F.sum("ids").alias("ids"), F.max_by("family", F.struct("n", "family")).alias("stratum"))
+    size_class = F.floor(F.log2("n")).cast("int")
+    facts = ws.table(facts.withColumns({"class": size_class, "slot": F.pmod(F.xxhash64("first_id"), F.lit(SLOTS)).cast("int")}), "groups")
+    units = facts.groupBy("stratum", "class", "slot").agg(F.sum("n").alias("n"))
+    least = 1 / min(p for _, p in splits)
+    whole = units.groupBy("stratum").agg(F.sum("n").alias("all"))
+    units = ws.table(units.join(whole, "stratum").withColumn("h", F.xxhash64("stratum", "class", "slot")), "units")
+    small = units.filter(F.col("all") < least).agg(F.sum("n")).first()[0] or 0
+    # small families are placed together, about POOL_ROWS rows at a time
+    pool = F.when(F.col("all") < least, F.pmod(F.xxhash64("stratum"), F.lit(1 + small // POOL_ROWS)))
     names, shares = [s for s, _ in splits], [p for _, p in splits]
-    lacks = {s: [n * p for p in shares] for s, n in totals.items()}
-    overall = [sum(totals.values()) * p for p in shares]
-    placed = []
-    big = facts.filter(F.col("n") > big_from).orderBy(F.desc("n"), "first_id").collect()  # fewer than BIG_SHARE, by arithmetic
-    for g in big:
-        lack = lacks[g.stratum]
-        # squared deviation added, in the family and overall, relative to what each should hold
-        cost = [((g.n - 2 * lack[i]) / max(totals[g.stratum], 1) + (g.n - 2 * overall[i]) / max(sum(totals.values()), 1)) / max(shares[i], 1e-9) for i in range(len(names))]
-        best = min(range(len(names)), key=lambda i: (cost[i], i))
-        lack[best] -= g.n
-        overall[best] -= g.n
-        placed.append((g.first_id, names[best]))
-    id_type = facts.schema["first_id"].dataType.simpleString()
-    small = facts.filter(F.col("n") <= big_from).withColumn("slot", F.pmod(F.xxhash64("first_id"), F.lit(SLOTS)).cast("int"))
-    slots: dict[str, list] = {}
-    for r in small.groupBy("stratum", "slot").agg(F.sum("n").alias("n")).collect():
-        slots.setdefault(r.stratum, []).append((r.slot, r.n))
-    cuts = []
-    for stratum, filled in slots.items():
-        lack = lacks[stratum]
-        # the largest slots first, each to the split that lacks most of its share
-        for slot, n in sorted(filled, key=lambda x: (-x[1], x[0])):
-            i = max(range(len(names)), key=lambda j: (lack[j], -j))
-            lack[i] -= n
-            cuts.append((stratum, slot, names[i]))
-    slot_split = spark.createDataFrame(cuts, "stratum string, slot int, split string")
-    group_split = small.join(F.broadcast(slot_split), ["stratum", "slot"]).select("first_id", "ids", "split")
-    if placed:
-        chosen = spark.createDataFrame(placed, f"first_id {id_type}, split string")
-        group_split = group_split.unionByName(facts.join(F.broadcast(chosen), "first_id").select("first_id", "ids", "split"))
-    final = ws.table(group_split, "splits")
+
+    def place(batch: pd.DataFrame) -> pd.DataFrame:
+        batch = batch.sort_values(["n", "h"], ascending=[False, True])
+        lack = [float(batch.n.sum()) * p for p in shares]
+        out = []
+        for n in batch.n.tolist():
+            # squared deviation added, relative to what each split should hold
+            best = min(range(len(names)), key=lambda i: ((n - 2 * lack[i]) / shares[i], i))
+            lack[best] -= n
+            out.append(names[best])
+        return batch.assign(split=out)[["stratum", "class", "slot", "split"]]
+
+    by = units.withColumn("pool", pool).withColumn("alone", F.when(F.col("pool").isNull(), F.col("stratum")))
+    placed = by.groupBy("alone", "pool").applyInPandas(place, "stratum string, class int, slot int, split string")
+    final = ws.table(facts.join(ws.table(placed, "placed"), ["stratum", "class", "slot"]).select("first_id", "ids", "split"), "splits")
     return attach(table, final, ["first_id"], "ids").select("id", "first_id", "family", "split")
 
 

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.llm.markup import TAG
 from corpusloom.workspace import ship
 
 #: Where the public tokenizers' files lie.
@@ -27,9 +28,11 @@ SAMPLE_DOCS = 250
 ROUNDS, EM_STEPS = 3, 3
 #: Share of the probability that every language gives to the pieces of all languages together.
 BACKGROUND = 0.02
-#: A sentence has at least so many words, and its language at least so much of the posterior.
+#: A sentence has at least so many words. A label is called missing or wrong if a sentence's language has at least so much of the posterior.
 LEAST_WORDS = 5
 LEAST_CONFIDENCE = 0.95
+#: Longer runs of letters are read in parts of so many, all of which count.
+PART_LETTERS = 40
 _UNKNOWN = 1e-9
 _CACHE_WORDS = 400_000
 
@@ -37,33 +40,38 @@ _MARK = re.compile(r"[̀-ͯ]")
 _LETTERS = re.compile(r"[^\W\d_]+")
 _END = re.compile(r"""[.?!…]+["'»”’*_)\]]*(?=\s|$)""")
 _LEAD = re.compile(r"""^[\s>]*(?:(?:\#+|//+|[-*+•]|\d+[.)])\s+)?(?:[rRbBfFuU]?(?:\"\"\"|'''))?\s*""")
-_TAG = re.compile(r"</?[A-Za-z][^<>]{0,200}>")
 _QUOTES = re.compile(r"\"\"\"|'''")
 _CODE_LINE = re.compile(r"^(?:```|\||import \w|from \S+ import\b|return\b|def \w|class \w+.*:\s*$|pip install|--\w|\[\d+/\d+\]|step \d+ loss|\w*(?:error|exception)\b\s*:|super\(|@\w|[A-Za-z]+_\w+\.\w+$)", re.I)
 _SYMBOLS = re.compile(r"[=(){}\[\]|<>;\\^~]")
+_ASIDE = re.compile(r"(?:(?<=\s)|^)\([^\W\d_][^()=\[\]{}]*\)")
 _JOINED = re.compile(r"\w_\w")
+_HASHES = re.compile(r"\s*(#*)")
 
 
 def _lines(text: str) -> Iterator[tuple[int, str]]:
     """The lines of prose with their offsets, and an empty line for whatever separates stretches of it.
 
     Comment signs, quotation signs, bullets and quotes around a line don't matter. Lines of code, log lines, tables
-    and fences hold no prose, nor do headings marked as such.
+    and fences hold no prose, nor do headings marked as such. A line that begins with # is a heading if it ends no
+    sentence and neither of its neighbours begins alike: those are comments over several lines.
     """
-    at = 0
+    rows, at = [], 0
     for raw in re.split(r"(\r\n|\n|\r)", text):
-        line, start = raw, at
+        if raw not in ("\r\n", "\n", "\r"):
+            rows.append((at, raw))
         at += len(raw)
+    hashes = [0, *(len(_HASHES.match(line).group(1)) for _, line in rows), 0]
+    for n, (start, line) in enumerate(rows, 1):
         if not line.strip():
-            if line in ("\r\n", "\n", "\r"):
-                continue
             yield start, ""
             continue
         stripped = _QUOTES.sub("   ", line)
         lead = _LEAD.match(stripped).end()
         body = stripped[lead:].rstrip()
-        heading = line.lstrip().startswith("#") and not _END.search(body)
+        heading = hashes[n] and hashes[n] not in (hashes[n - 1], hashes[n + 1]) and not _END.search(body)
         symbols, words = len(_SYMBOLS.findall(body)), body.count(" ") + 1
+        if "(" in body:
+            symbols -= 2 * len(_ASIDE.findall(body))
         if "_" in body:
             symbols += len(_JOINED.findall(body))
         if heading or _CODE_LINE.match(body) or symbols * 5 > words:
@@ -76,7 +84,7 @@ def sentences(text: str) -> list[tuple[int, int, list[str]]]:
     """``(start, end, words)`` for the full sentences of a text: what runs to a full stop, question mark or
     exclamation mark over one or more lines of prose and has at least LEAST_WORDS words."""
     if "<" in text:
-        text = _TAG.sub(lambda m: " " * len(m.group()), text)
+        text = TAG.sub(lambda m: " " * len(m.group()), text)
     if "**" in text:
         text = text.replace("**", "  ")
     out = []
@@ -104,6 +112,10 @@ def sentences(text: str) -> list[tuple[int, int, list[str]]]:
     return out
 
 
+def parts_of(word: str) -> list[str]:
+    return [word] if len(word) <= PART_LETTERS else [word[k : k + PART_LETTERS] for k in range(0, len(word), PART_LETTERS)]
+
+
 def folded_words(text: str) -> list[str]:
     """The words of a text (runs of letters) without case and accents."""
     if not text.isascii():
@@ -221,7 +233,7 @@ class Scorer:
 
     def _learn(self, words: list[str]) -> None:
         # a run of letters of any length is scored in parts, so the tables stay small
-        cut = [[w[k : k + 40] for k in range(0, len(w), 40)] for w in words]
+        cut = [parts_of(w) for w in words]
         logs = np.log(np.maximum(forward(self.pieces.arcs([c for cs in cut for c in cs]), self.probs)[1], 1e-300))
         scores = np.add.reduceat(logs, np.cumsum([0, *map(len, cut)])[:-1])
         n = len(self.place)
@@ -238,8 +250,8 @@ class Scorer:
             self._learn(new[i : i + 20_000])
         return self.table[np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))]
 
-    def posteriors(self, found: list[list[str]]) -> np.ndarray:
-        """Sentences x languages; an empty sentence is undecided."""
+    def posteriors(self, found: list[list[str]], mean: bool = False) -> np.ndarray:
+        """Sentences x languages; an empty sentence is undecided. With ``mean``, of an average word instead of all together."""
         n_lang = self.probs.shape[1]
         logs = np.zeros((len(found), n_lang))
         full = [i for i, ws in enumerate(found) if ws]
@@ -247,6 +259,8 @@ class Scorer:
             flat = self([w for i in full for w in found[i]])
             starts = np.cumsum([0, *(len(found[i]) for i in full)])[:-1]
             logs[full] = np.add.reduceat(flat, starts)
+            if mean:
+                logs[full] /= np.array([[len(found[i])] for i in full])
         p = np.exp(logs - logs.max(1, keepdims=True))
         return p / p.sum(1, keepdims=True)
 
@@ -278,14 +292,14 @@ def train(documents: DataFrame, label: Column, codes: list[str], folder: str = T
     share = F.create_map(*[F.lit(x) for kv in shares.items() for x in kv])[F.col("label")] if shares else F.lit(0.0)
     drawn = rows.filter((F.pmod(F.xxhash64("id"), F.lit(1_000_003)) / 1_000_003.0) < share).select("label", "text").collect()
     pieces = Pieces(load_pieces(folder))
-    found = [(codes.index(r.label), s) for r in sorted(drawn, key=lambda r: (r.label, r.text)) for *_, s in sentences(r.text)]
-    words = sorted({w[:40] for _, ws in found for w in ws})
+    found = [(codes.index(r.label), [p for w in s for p in parts_of(w)]) for r in sorted(drawn, key=lambda r: (r.label, r.text)) for *_, s in sentences(r.text)]
+    words = sorted({w for _, ws in found for w in ws})
     number = {w: n for n, w in enumerate(words)}
 
     def tally(of: list[int]) -> np.ndarray:
         counts = np.zeros((len(words), len(codes)))
         for lang, (_, ws) in zip(of, found):
-            for w, n in Counter(w[:40] for w in ws).items():
+            for w, n in Counter(ws).items():
                 counts[number[w], lang] += n
         return counts
 
@@ -302,18 +316,23 @@ def train(documents: DataFrame, label: Column, codes: list[str], folder: str = T
     return pieces, probs
 
 
+def _models(documents: DataFrame, languages: DataFrame, folder: str, sample_docs: int):
+    """The languages' codes, the column of what a label names, and a broadcast of the fitted models (one row for each piece of the vocabulary)."""
+    ship(documents.sparkSession)
+    codes = sorted(r.lang for r in languages.select("lang").dropna().distinct().collect())
+    label = named_language(F.col("lang"), languages)
+    return codes, label, documents.sparkSession.sparkContext.broadcast(train(documents, label, codes, folder, sample_docs))
+
+
 def segments(documents: DataFrame, languages: DataFrame, folder: str = TOKENIZERS, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     """``(doc_id, named, start, stop, lang, confidence)``: each run of sentences in one language, with its offsets.
 
     ``named`` is the code that the document's label names. The confidence of a run is the lowest posterior of its
-    sentences; sentences under LEAST_CONFIDENCE are left out. Whole texts are read. Documents without a full sentence,
-    with a null or empty text or a null id give no row; repeated rows repeat their result.
+    sentences; sentences under LEAST_CONFIDENCE are in runs of their own, so none is left out and none lowers another. Whole
+    texts are read. Documents without a full sentence, with a null or empty text or a null id give no row here
+    (see :func:`document_languages`); repeated rows repeat their result.
     """
-    ship(documents.sparkSession)
-    codes = sorted(r.lang for r in languages.select("lang").dropna().distinct().collect())
-    label = named_language(F.col("lang"), languages)
-    pieces, probs = train(documents, label, codes, folder, sample_docs)
-    sent = documents.sparkSession.sparkContext.broadcast((pieces, probs))
+    codes, label, sent = _models(documents, languages, folder, sample_docs)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = Scorer(*sent.value)
@@ -325,21 +344,20 @@ def segments(documents: DataFrame, languages: DataFrame, folder: str = TOKENIZER
                 best, sure = post.argmax(1), post.max(1)
                 runs: list[list] = []
                 for (n, (a, b, _)), lang, p in zip(found, best.tolist(), sure.tolist()):
-                    if p < LEAST_CONFIDENCE:
-                        continue
-                    if runs and runs[-1][0] == n and runs[-1][3] == lang:
-                        runs[-1][2], runs[-1][4] = b, min(runs[-1][4], p)
+                    kind = (n, lang, p >= LEAST_CONFIDENCE)
+                    if runs and runs[-1][0] == kind:
+                        runs[-1][2], runs[-1][3] = b, min(runs[-1][3], p)
                     else:
-                        runs.append([n, a, b, lang, p])
-                cols = list(zip(*runs)) if runs else [[]] * 5
+                        runs.append([kind, a, b, p])
+                cols = list(zip(*runs)) if runs else [[]] * 4
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([ids[n] for n in cols[0]], pa.int64()),
-                        pa.array([names[n] for n in cols[0]], pa.string()),
+                        pa.array([ids[n] for n, *_ in cols[0]], pa.int64()),
+                        pa.array([names[n] for n, *_ in cols[0]], pa.string()),
                         pa.array(cols[1], pa.int32()),
                         pa.array(cols[2], pa.int32()),
-                        pa.array([codes[k] for k in cols[3]], pa.string()),
-                        pa.array(cols[4], pa.float64()),
+                        pa.array([codes[k] for _, k, _ in cols[0]], pa.string()),
+                        pa.array(cols[3], pa.float64()),
                     ],
                     names=["doc_id", "named", "start", "stop", "lang", "confidence"],
                 )
@@ -348,12 +366,52 @@ def segments(documents: DataFrame, languages: DataFrame, folder: str = TOKENIZER
     return rows.mapInArrow(find, "doc_id long, named string, start int, stop int, lang string, confidence double")
 
 
+def document_languages(documents: DataFrame, languages: DataFrame, folder: str = TOKENIZERS, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+    """``(doc_id, named, lang, confidence, sentences)``: one row for each document that has an id.
+
+    The language is that of most characters in full sentences, each weighted by its posterior, and the confidence is its
+    share of all of them. A document without a full sentence is judged by all its words, headings and code included, with the
+    posterior of an average word as a low confidence; one without any word has a null language and confidence 0.
+    """
+    codes, label, sent = _models(documents, languages, folder, sample_docs)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = Scorer(*sent.value)
+        for batch in batches:
+            texts = batch.column(2).to_pylist()
+            langs, sure, counts = [], [], []
+            for at in range(0, len(texts), 500):
+                part = [t or "" for t in texts[at : at + 500]]
+                found = [sentences(t) for t in part]
+                post = score.posteriors([s[2] for ss in found for s in ss])
+                bare = [i for i, ss in enumerate(found) if not ss]
+                whole = [folded_words(part[i]) for i in bare]
+                rough = dict(zip(bare, zip(map(bool, whole), score.posteriors(whole, mean=True))))
+                n = 0
+                for i, ss in enumerate(found):
+                    own, n = post[n : n + len(ss)], n + len(ss)
+                    if ss:
+                        chars = np.array([b - a for a, b, _ in ss], float)
+                        weight = np.zeros(len(codes))
+                        np.add.at(weight, own.argmax(1), chars * own.max(1))
+                        has, p = True, weight / chars.sum()
+                    else:
+                        has, p = rough[i]
+                    langs.append(codes[int(p.argmax())] if has and codes else None)
+                    sure.append(float(p.max()) if has and codes else 0.0)
+                    counts.append(len(ss))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(langs, pa.string()), pa.array(sure, pa.float64()), pa.array(counts, pa.int32())], names=["doc_id", "named", "lang", "confidence", "sentences"])
+
+    rows = documents.select(F.col("doc_id").cast("long"), label.alias("named"), "text").filter("doc_id is not null")
+    return rows.mapInArrow(judge, "doc_id long, named string, lang string, confidence double, sentences int")
+
+
 def _tables(spark, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/languages.parquet")
 
 
 def p9_found(spark, sf_dir: str) -> DataFrame:
-    found = segments(*_tables(spark, sf_dir))
+    found = segments(*_tables(spark, sf_dir)).filter(F.col("confidence") >= LEAST_CONFIDENCE)
     return found.filter(~F.col("lang").eqNullSafe(F.col("named"))).select("doc_id", "lang").distinct()
 
 
@@ -362,9 +420,4 @@ def p9_segments(spark, sf_dir: str) -> DataFrame:
 
 
 def p9_documents(spark, sf_dir: str) -> DataFrame:
-    """Each document's main language, by characters of its sentences, with a confidence: that language's share of them."""
-    found = segments(*_tables(spark, sf_dir)).withColumn("chars", F.col("stop") - F.col("start"))
-    per = found.groupBy("doc_id", "named", "lang").agg(F.sum(F.col("chars") * F.col("confidence")).alias("sure"), F.sum("chars").alias("chars"))
-    return per.groupBy("doc_id", "named").agg(
-        F.max_by("lang", F.struct("chars", "lang")).alias("lang"), (F.max_by("sure", F.struct("chars", "lang")) / F.sum("chars")).alias("confidence"), F.count("*").alias("languages")
-    )
+    return document_languages(*_tables(spark, sf_dir))

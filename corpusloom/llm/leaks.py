@@ -1,14 +1,13 @@
 """Problem 8: evaluation passages inside corpus documents.
 
-Method: a distributed positional inverted index of the corpus's postings of test terms; offset-adjusted lists are
-intersected from the rarest test terms, which gives exact phrase and proximity matches, and each match is verified.
+Method: a distributed positional inverted index. The postings of all terms of the corpus are written once; offset-adjusted
+lists are intersected from each item's rarest terms, which gives exact phrase and proximity matches, and each match is verified.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,9 +15,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm import sketch
+from corpusloom.llm.markup import TAG
 from corpusloom.llm.neardup import only
-from corpusloom.llm.shingles import chunks
+from corpusloom.llm.shingles import chunks, word_hashes
+from corpusloom.operators import sketch
+from corpusloom.operators.sketch import mix
+from corpusloom.operators.skew import attach
 from corpusloom.workspace import Workspace
 
 #: One word in so many may be altered, added or left out.
@@ -27,17 +29,16 @@ EDIT_EVERY = 10
 TERM_WORDS = 3
 #: Terms of one passage that must be found in place before it is verified.
 HITS = 6
-#: Test items are worked through in blocks of so many; each block passes over the corpus.
-BLOCK_ITEMS = 20_000
+#: Test terms are broadcast up to this number (8 bytes each); beyond it the index is counted as a whole.
+MOST_SENT_TERMS = 500_000
 _WORD = re.compile(r"[^\W_]+")
-_TAG = re.compile(r"</?[A-Za-z][^<>]{0,200}>")
-_MARK = re.compile(r"[̀-ͯ᪰-᫿᷀-᷿⃐-⃿︠-︯]")
+_MARK = re.compile(r"[\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\ufe20-\ufe2f]")
 
 
 def plain_words(text: str) -> list[str]:
     """Runs of letters and digits of any script, without regard to case, accents, punctuation and markup."""
     if "<" in text:
-        text = _TAG.sub(" ", text)
+        text = TAG.sub(" ", text)
     if text.isascii():
         return _WORD.findall(text.lower())
     return _WORD.findall(_MARK.sub("", unicodedata.normalize("NFKD", text)).casefold())
@@ -53,8 +54,18 @@ def gram(words: list[str]) -> int:
     return max(1, min(TERM_WORDS, least_words(len(words))))
 
 
-def terms(words: list[str], g: int) -> list[tuple]:
-    return list(zip(*(words[i:] for i in range(g))))
+def terms(words: list[list[str]], g: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(row, place, term)`` of every run of ``g`` words of each list, as 64-bit hashes."""
+    sizes = np.array([len(w) for w in words], np.int64)
+    h = word_hashes([w for ws in words for w in ws])
+    n = np.maximum(sizes - g + 1, 0)
+    row = np.repeat(np.arange(len(words)), n)
+    place = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    at = place + np.repeat(np.cumsum(sizes) - sizes, n)
+    term = np.full(len(row), g, np.uint64)
+    for j in range(g):
+        term = mix(term * np.uint64(0x9E3779B97F4A7C15) + h[at + j] + np.uint64(j + 1))
+    return row, place, term.view(np.int64)
 
 
 def needed_hits(m: int, g: int) -> int:
@@ -62,18 +73,17 @@ def needed_hits(m: int, g: int) -> int:
     return max(1, min([HITS, *(n - g + 1 - g * (n // EDIT_EVERY) for n in range(least_words(m), m + 1))]))
 
 
-def choose_anchors(words: list[str], frequency: dict[tuple, int]) -> list[int]:
-    """Places of the item's rarest terms, enough of them that every passage that counts keeps HITS unaltered.
+def choose_anchors(m: int, g: int, frequency: list[int]) -> list[int]:
+    """Places of the rarest terms of an item of ``m`` words, enough of them that every passage that counts keeps HITS unaltered.
 
     A passage of n words may have n / EDIT_EVERY edits, each of which spoils at most as many terms as a term has words.
-    So each run of n words, n at least half of the item, gets that many anchors and HITS more, or all its terms.
+    So each run of n words, n at least half of the item, gets that many anchors and HITS more, or all its terms. Of the
+    lengths with equally many edits only the least matters: longer runs contain such a one.
     """
-    g = gram(words)
-    found = terms(words, g)
-    m, low = len(words), least_words(len(words))
-    chosen = np.zeros(len(found), np.int64)
-    rarity = sorted(range(len(found)), key=lambda i: (frequency.get(found[i], 0), i))
-    for n in range(low, m + 1):
+    rank = np.lexsort((np.arange(len(frequency)), np.array(frequency))).argsort()
+    chosen = np.zeros(len(frequency), np.int64)
+    low = least_words(m)
+    for n in [low, *(n for n in range(low + 1, m + 1) if n % EDIT_EVERY == 0)]:
         span = n - g + 1
         need = min(span, g * (n // EDIT_EVERY) + HITS)
         while True:
@@ -82,11 +92,8 @@ def choose_anchors(words: list[str], frequency: dict[tuple, int]) -> list[int]:
             if not len(bad):
                 break
             start = int(bad[0])
-            missing = need - int(run[start + span] - run[start])
-            for i in rarity:
-                if missing and start <= i < start + span and not chosen[i]:
-                    chosen[i] = 1
-                    missing -= 1
+            free = start + np.flatnonzero(chosen[start : start + span] == 0)
+            chosen[free[np.argsort(rank[free])][: need - int(run[start + span] - run[start])]] = 1
     return np.flatnonzero(chosen).tolist()
 
 
@@ -171,114 +178,116 @@ def contains_passage(item: list, doc: list) -> bool:
     return False
 
 
-def _term_counts(docs: DataFrame, known) -> DataFrame:
-    """``(term, n)``: the number of each test term and how many documents have it."""
+def postings(docs: DataFrame, sizes: list[int]) -> DataFrame:
+    """``(term, doc_id, pos)`` for every place of every term, of ``sizes`` words, of documents ``(id, text)``.
+
+    The index is partitioned by documents: a part has the lists of its own ones, in runs sorted by term, so nothing is shuffled to build it.
+    """
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-        numbers, sizes = known.value
+    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text in batch.column(1).to_pylist():
-                words = plain_words(text)
-                seen.update({t for g in sizes for t in terms(words, g) if t in numbers})
-        yield pa.RecordBatch.from_arrays([pa.array([numbers[t] for t in seen], pa.int32()), pa.array(list(seen.values()), pa.int64())], names=["term", "n"])
+            ids, texts = np.asarray(batch.column(0)), batch.column(1).to_pylist()
+            for a, b in chunks(texts):
+                words = [plain_words(t) for t in texts[a:b]]
+                for g in sizes:
+                    row, place, term = terms(words, g)
+                    order = np.argsort(term, kind="stable")
+                    yield pa.RecordBatch.from_arrays([pa.array(term[order]), pa.array(ids[a:b][row[order]]), pa.array(place[order].astype(np.int32))], names=["term", "doc_id", "pos"])
 
-    return docs.mapInArrow(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    return docs.mapInArrow(post, "term long, doc_id long, pos int")
 
 
-def postings(docs: DataFrame, known) -> DataFrame:
-    """``(term, doc_id, pos)`` for every place where a document ``(id, text)`` has one of the terms.
+def _prepared(items: DataFrame) -> DataFrame:
+    """``(item, item_id, words, g, terms)`` for items ``(item, item_id, text)`` that have words."""
 
-    ``known`` is a broadcast of the terms' numbers and their sizes in words; it is as large as the block of test items.
-    """
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = [plain_words(t) for t in batch.column(2).to_pylist()]
+            have = [i for i, w in enumerate(words) if w]
+            grams = [gram(words[i]) for i in have]
+            found = [terms([words[i]], g)[2] for i, g in zip(have, grams)]
+            take = pa.array(have, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(take), batch.column(1).take(take), pa.array([words[i] for i in have], pa.list_(pa.string())), pa.array(grams, pa.int32()), pa.array(found, pa.list_(pa.int64()))],
+                names=["item", "item_id", "words", "g", "terms"],
+            )
 
-    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, sizes = known.value
+    return items.mapInArrow(read, "item long, item_id long, words array<string>, g int, terms array<long>")
+
+
+def _anchors(items: DataFrame, counts: DataFrame) -> DataFrame:
+    """``(term, item, at, edits, need, n)``: each item's anchors, n being the length of the term's list."""
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in chunks(texts):
-                rows = []
-                for i, text in zip(ids[a:b], texts[a:b]):
-                    words = plain_words(text)
-                    rows += [(numbers[t], i, at) for g in sizes for at, t in enumerate(terms(words, g)) if t in numbers]
-                cols = np.array(rows, np.int64).reshape(-1, 3)
-                yield pa.RecordBatch.from_arrays([pa.array(cols[:, 0].astype(np.int32)), pa.array(cols[:, 1]), pa.array(cols[:, 2].astype(np.int32))], names=["term", "doc_id", "pos"])
-
-    return docs.mapInArrow(post, "term int, doc_id long, pos int")
-
-
-def _block(docs: DataFrame, items: list, ws: Workspace) -> DataFrame:
-    spark = docs.sparkSession
-    sc = spark.sparkContext
-    words = {i: w for i, t in items if (w := plain_words(t))}
-    sizes = sorted({gram(w) for w in words.values()})
-    vocabulary = {t: n for n, t in enumerate(sorted({t for w in words.values() for t in terms(w, gram(w))}))}
-    # no more rows than the block has terms
-    counts = {r.term: r.n for r in _term_counts(docs, sc.broadcast((vocabulary, sizes))).collect()}
-    frequency = {t: counts.get(n, 0) for t, n in vocabulary.items()}
-    anchors = []
-    for i, w in words.items():
-        found = terms(w, gram(w))
-        anchors += [(vocabulary[found[p]], i, p, len(w) // EDIT_EVERY, needed_hits(len(w), gram(w))) for p in choose_anchors(w, frequency)]
-    wanted = {t for t, *_ in anchors}
-    index = postings(docs, sc.broadcast(({t: n for t, n in vocabulary.items() if n in wanted}, sizes)))
-    probes = spark.createDataFrame(anchors, "term int, item_id long, at int, edits int, need int")
-    hits = index.join(F.broadcast(probes), "term").withColumn("offset", F.col("pos") - F.col("at"))
-    # edits move the offset by one each, so all hits of a passage lie in one of two overlapping strips
-    width = 2 * (F.col("edits") + 1)
-    strips = F.explode(F.array(F.floor(F.col("offset") / width) * 2, F.floor((F.col("offset") + width / 2) / width) * 2 + 1))
-    found = (
-        hits.select("doc_id", "item_id", "at", "need", strips.alias("strip"))
-        .distinct()
-        .groupBy("doc_id", "item_id", "strip")
-        .agg(F.count("*").alias("places"), F.first("need").alias("need"))
-        .filter(F.col("places") >= F.col("need"))
-    )
-    # a document's list is no longer than the block of items, and its text is sent once
-    candidates = ws.table(found.groupBy("doc_id").agg(F.collect_set("item_id").alias("items")), "candidates")
-    passing = sc.broadcast(sketch.id_filter(candidates.select("doc_id")))
-    texts = only(docs, passing, True).withColumnRenamed("id", "doc_id")
-    sent = sc.broadcast(words)
+            rows = []
+            for item, m, g, found in zip(*(batch.column(c).to_pylist() for c in range(4))):
+                found = sorted((f["at"], f["term"], f["n"]) for f in found)
+                for p in choose_anchors(m, g, [n for *_, n in found]):
+                    rows.append((found[p][1], item, p, m // EDIT_EVERY, needed_hits(m, g), found[p][2]))
+            cols = np.array(rows, np.int64).reshape(-1, 6)
+            yield pa.RecordBatch.from_arrays([pa.array(cols[:, c].astype(np.int64 if c in (0, 1, 5) else np.int32)) for c in range(6)], names=["term", "item", "at", "edits", "need", "n"])
+
+    # one item's terms make one row
+    known = items.select("item", F.size("words").alias("m"), "g", F.posexplode("terms").alias("at", "term")).join(counts, "term", "left")
+    rows = known.groupBy("item", "m", "g").agg(F.collect_list(F.struct("at", "term", F.coalesce("n", F.lit(0)).alias("n"))).alias("found"))
+    return rows.mapInArrow(choose, "term long, item long, at int, edits int, need int, n long")
+
+
+def _verified(candidates: DataFrame) -> DataFrame:
+    """``(doc_id, item_id)`` of the candidates ``(doc_id, item_id, words, text)`` that hold the passage."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, found = None, []
         for batch in batches:
-            docs_, items_ = [], []
-            for d, its, text in zip(*(batch.column(c).to_pylist() for c in range(3))):
-                found = plain_words(text)
-                hit = [i for i in its if contains_passage(sent.value[i], found)]
-                docs_ += [d] * len(hit)
-                items_ += hit
-            yield pa.RecordBatch.from_arrays([pa.array(docs_, pa.int64()), pa.array(items_, pa.int64())], names=["doc_id", "item_id"])
+            docs, items = [], []
+            for d, i, words, text in zip(*(batch.column(c).to_pylist() for c in range(4))):
+                if text != last:  # rows of one document mostly follow each other
+                    last, found = text, plain_words(text)
+                if contains_passage(words, found):
+                    docs.append(d)
+                    items.append(i)
+            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(items, pa.int64())], names=["doc_id", "item_id"])
 
-    return candidates.join(texts, "doc_id").select("doc_id", "items", "text").mapInArrow(verify, "doc_id long, item_id long")
+    return candidates.select("doc_id", "item_id", "words", "text").mapInArrow(verify, "doc_id long, item_id long")
 
 
 def leaked(documents: DataFrame, items: DataFrame, ws: Workspace | None = None) -> DataFrame:
     """``(doc_id, item_id)`` for every document that contains a passage of an item.
 
-    ``documents`` has ``doc_id`` and ``text``, ``items`` has ``item_id`` and ``text``. The whole corpus is searched
-    for every item; items are a stated query set and are taken to the executors in blocks of BLOCK_ITEMS. Null
-    ids and texts and texts without words match nothing; repeated rows give one result row.
+    ``documents`` has ``doc_id`` and ``text``, ``items`` has ``item_id`` and ``text``. The corpus is read once for its index and once
+    more for the texts of candidates, however many items there are; items and their anchors are tables and nothing of
+    either comes to the driver. A term that very many places have is a hot key and is taken apart (:func:`corpusloom.operators.skew.attach`).
+    Null ids and texts and texts without words match nothing; repeated rows give one result row; an id that has several
+    texts stands for each of them.
     """
     spark = documents.sparkSession
     ws = ws or Workspace(spark)
     docs = documents.select(F.col("doc_id").cast("long").alias("id"), "text").filter("id is not null and text is not null")
-    result = None
-    block: list = []
-    rows = items.select("item_id", "text").dropna().distinct().orderBy("item_id").toLocalIterator()
-    while True:
-        row = next(rows, None)
-        if row is not None:
-            block.append((row.item_id, row.text))
-        if block and (row is None or len(block) == BLOCK_ITEMS):
-            part = _block(docs, block, ws)
-            result = part if result is None else result.unionByName(part)
-            block = []
-        if row is None:
-            break
-    if result is None:
+    asked = items.select(F.col("item_id").cast("long").alias("item_id"), "text").dropna().distinct()
+    asked = ws.table(_prepared(asked.select(F.xxhash64("item_id", "text").alias("item"), "item_id", "text")), "items")
+    sizes = sorted(r.g for r in asked.select("g").distinct().collect())  # at most TERM_WORDS
+    if not sizes:
         return spark.createDataFrame([], "doc_id long, item_id long")
-    return result.distinct()
+    index = ws.table(postings(docs, sizes), "postings")
+    wanted = ws.table(asked.select(F.explode("terms").alias("term")).distinct(), "terms")
+    if wanted.count() <= MOST_SENT_TERMS:
+        counts = index.join(F.broadcast(wanted), "term").groupBy("term").agg(F.count("*").alias("n"))
+    else:
+        counts = index.groupBy("term").agg(F.count("*").alias("n")).join(wanted, "term")
+    probes = ws.table(_anchors(asked, ws.table(counts, "counts")), "anchors")
+    hits = attach(index, probes, ["term"], "n").select("doc_id", "item", "need", "edits", (F.col("pos") - F.col("at")).alias("offset"))
+    both = hits.groupBy("doc_id", "item").agg(F.count("*").alias("places"), F.first("need").alias("need")).filter("places >= need").select("doc_id", "item")
+    pairs = ws.table(both, "pairs")
+    # edits move the offset by one each, so all hits of a passage lie in one of two overlapping strips
+    width = 2 * (F.col("edits") + 1)
+    strips = F.explode(F.array(F.floor(F.col("offset") / width) * 2, F.floor((F.col("offset") + width / 2) / width) * 2 + 1))
+    placed = hits.join(pairs, ["doc_id", "item"]).select("doc_id", "item", "need", strips.alias("strip"))
+    found = placed.groupBy("doc_id", "item", "strip").agg(F.count("*").alias("places"), F.first("need").alias("need")).filter("places >= need")
+    candidates = ws.table(found.select("doc_id", "item").distinct().join(asked.select("item", "item_id", "words"), "item"), "candidates")
+    passing = spark.sparkContext.broadcast(sketch.id_filter(candidates.select("doc_id")))
+    texts = only(docs, passing, True).withColumnRenamed("id", "doc_id")
+    return _verified(candidates.join(texts, "doc_id")).distinct()
 
 
 def p8_found(spark, sf_dir: str) -> DataFrame:

@@ -14,16 +14,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm import sketch
 from corpusloom.llm.partenum import signatures
 from corpusloom.llm.shingles import chunks, set_key, shingle_sets
+from corpusloom.operators import similarity, sketch
 from corpusloom.operators.components import connected_components
 from corpusloom.operators.skew import attach
 from corpusloom.workspace import Workspace
 
 _EPS = 1e-9
 _KEYS = ["k1", "k2", "n"]
-_N_SHIFT = 1 << 24
+_PREFIX_BITS, _SIDE_BITS = 22, 2  # beside a set's size in one long
 
 
 _WORDS = 8  # longs of parity bits of a set
@@ -38,13 +38,13 @@ def _parity(offsets: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return np.packbits(odd).view(np.int64).reshape(len(sizes), _WORDS)
 
 
-def set_keys(rows: DataFrame, k: int, id_type: str = "long") -> DataFrame:
-    """``(id, k1, k2, n)`` and parity bits for rows ``(id, text)`` that have a shingle, and the partial frequency sketches in ``(chunk, cells)``."""
+def set_keys(rows: DataFrame, k: int, n_bits: int, id_type: str = "long") -> DataFrame:
+    """``(id, k1, k2, n)`` and parity bits for rows ``(id, text)`` that have a shingle, and the partial frequency sketches of 2^n_bits counters in ``(chunk, cells)``."""
 
     id_arrow = pa.int64() if id_type == "long" else pa.string()
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.zeros(1 << sketch.COUNT_BITS, np.uint32)
+        cells = np.zeros(1 << n_bits, np.uint32)
         names = ["id", "k1", "k2", "n", *_PARITY, "chunk", "cells"]
         seen = False
         for batch in batches:
@@ -68,13 +68,9 @@ def set_keys(rows: DataFrame, k: int, id_type: str = "long") -> DataFrame:
     return rows.mapInArrow(keyed, f"id {id_type}, k1 long, k2 long, n long, {', '.join(w + ' long' for w in _PARITY)}, chunk int, cells binary")
 
 
-def frequency_ranks(first: DataFrame):
-    """Broadcast of how often the hashes of each cell of the sketch occur in all rows: 4 MB at every size."""
-    add = lambda x, y: np.minimum(x.astype(np.uint64) + y, 2**32 - 1).astype(np.uint32)
-    counts = sketch.merged(first.filter("chunk is not null").select("chunk", "cells"), np.uint32, add)
-    if not len(counts):
-        counts = np.zeros(1 << sketch.COUNT_BITS, np.uint32)
-    return first.sparkSession.sparkContext.broadcast(np.minimum(counts, 2**31 - 1).astype(np.int32))
+def frequencies(first: DataFrame):
+    """Broadcast of about how often hashes occur in all rows, from the sketches in :func:`set_keys`: at most 4 MB at any size."""
+    return first.sparkSession.sparkContext.broadcast(sketch.frequencies(first.filter("chunk is not null").select("chunk", "cells")))
 
 
 def only(rows: DataFrame, bits, inside: bool) -> DataFrame:
@@ -88,19 +84,29 @@ def only(rows: DataFrame, bits, inside: bool) -> DataFrame:
     return rows.mapInArrow(sift, rows.schema)
 
 
-def _signature_rows(texts: DataFrame, ranks, k: int, threshold: float) -> DataFrame:
+def _signature_rows(texts: DataFrame, sent, k: int, threshold: float) -> DataFrame:
+    """``(sig, id, facts)``; a signature that many sets may share is split (see :func:`corpusloom.operators.sketch.split_within`).
+
+    ``facts`` packs the set's size, the number of its signatures and the side of a split one.
+    """
+    block_rows = sketch.BLOCK_ROWS
+
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = sent.value
         for batch in batches:
             ids, found = np.asarray(batch.column(0)), batch.column(1).to_pylist()
             for a, b in chunks(found):
                 offsets, hashes = shingle_sets(found[a:b], k)
-                row, sig, prefix = signatures(offsets, hashes, ranks.value, threshold)
-                packed = np.diff(offsets)[row] * _N_SHIFT + np.minimum(prefix, _N_SHIFT - 1)
-                for i in range(0, len(row), 200_000):
+                row, sig, prefix, rank = signatures(offsets, hashes, seen, threshold)
+                own = ids[a:b][row]
+                at, key, side = sketch.split_within(sig, own, seen.blocks(rank, block_rows))
+                facts = (((np.diff(offsets)[row] << _PREFIX_BITS) + np.minimum(prefix, (1 << _PREFIX_BITS) - 1))[at] << _SIDE_BITS) + side
+                own = own[at]
+                for i in range(0, len(key), 200_000):
                     s = slice(i, i + 200_000)
-                    yield pa.RecordBatch.from_arrays([pa.array(sig[s]), pa.array(ids[a:b][row[s]]), pa.array(packed[s])], names=["sig", "id", "np"])
+                    yield pa.RecordBatch.from_arrays([pa.array(key[s]), pa.array(own[s]), pa.array(facts[s])], names=["sig", "id", "facts"])
 
-    return texts.mapInArrow(signed, "sig long, id long, np long")
+    return texts.mapInArrow(signed, "sig long, id long, facts long")
 
 
 def verified(pairs: DataFrame, k: int, threshold: float) -> DataFrame:
@@ -138,30 +144,31 @@ def near_duplicates(records: DataFrame, id_col: str, text_col: str, k: int = 5,
     spark = records.sparkSession
     ws = ws or Workspace(spark)
     rows = records.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter("id is not null and text is not null")
-    first = ws.table(set_keys(rows, k), "sets")
+    first = ws.table(set_keys(rows, k, sketch.count_bits(records.count())), "sets")
     keyed = first.filter("chunk is null").select("id", *_KEYS)
-    ranks = frequency_ranks(first)
+    ranks = frequencies(first)
     classes = ws.table(keyed.groupBy(*_KEYS).agg(F.min("id").alias("class_id"), F.count("*").alias("copies")), "classes")
     copied = classes.filter("copies > 1")
     members = ws.table(
         attach(keyed, copied, _KEYS, "copies").select("id", "class_id", "copies").unionByName(classes.filter("copies = 1").select(F.col("class_id").alias("id"), "class_id", "copies")), "members"
     )
     # the first of each class stands for it; only what may be a further copy has to be looked up by a join
-    extra = members.filter("id <> class_id").select("id")
+    extra = ws.table(members.filter("id <> class_id").select("id"), "further")
     further = spark.sparkContext.broadcast(sketch.id_filter(extra))
     sure = only(rows, further, False)
     unsure = only(rows, further, True).join(members.filter("id = class_id").select("id"), "id").select("id", "text")
     sigs = _signature_rows(sure, ranks, k, threshold).unionByName(_signature_rows(unsure, ranks, k, threshold))
-    cut = lambda c: F.floor(F.col(c) / _N_SHIFT)
-    left = sigs.select("sig", F.col("id").alias("a"), F.col("np").alias("np_a"))
-    right = sigs.select("sig", F.col("id").alias("b"), F.col("np").alias("np_b"))
-    na, nb = cut("np_a"), cut("np_b")
-    pa_, pb = F.col("np_a") % _N_SHIFT, F.col("np_b") % _N_SHIFT
+    left, right = sigs.toDF("sig", "a", "fa"), sigs.toDF("sig", "b", "fb")
+    part = lambda c, shift, bits: F.shiftright(F.col(c), shift).bitwiseAND((1 << bits) - 1)
+    na, nb = (F.shiftright(F.col(c), _PREFIX_BITS + _SIDE_BITS) for c in ("fa", "fb"))
+    pa_, pb = (part(c, _SIDE_BITS, _PREFIX_BITS) for c in ("fa", "fb"))
+    side_a, side_b = (part(c, 0, _SIDE_BITS) for c in ("fa", "fb"))
     # sets that differ in at most d features agree on all but d of the signatures kept by either
     d = F.floor((na + nb) * ((1 - threshold) / (1 + threshold)) + _EPS)
     need = F.greatest(F.lit(1), F.least(pa_, pb) - d)
     size_ok = F.least(na, nb) >= F.greatest(na, nb) * threshold - _EPS  # the same columns on both sides, so one exchange serves both
-    matched = left.join(right, "sig").filter((F.col("a") < F.col("b")) & size_ok)
+    meet = (side_a == 2) | (side_b == 2) | (side_a != side_b)
+    matched = left.join(right, "sig").filter((F.col("a") < F.col("b")) & size_ok & meet)
     found = matched.select("a", "b", need.cast("int").alias("need")).groupBy("a", "b").agg(F.count("*").alias("shared"), F.min("need").alias("need"))
     close = by_parity(found.filter("shared >= need").select("a", "b"), first.filter("chunk is null").select("id", "n", *_PARITY), threshold)
     links = ws.table(check_pairs(ws.table(close, "candidates"), rows, k, threshold), "pairs")
@@ -179,7 +186,7 @@ def by_parity(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 def check_pairs(candidates: DataFrame, rows: DataFrame, k: int, threshold: float) -> DataFrame:
     """``(a, b, jaccard)`` of the candidates ``(a, b)``, a written table, that reach the threshold on their whole texts.
 
-    A filter of fixed size keeps texts that no candidate needs from being shuffled.
+    A filter of bounded size keeps texts that no candidate needs from being shuffled.
     """
     ids = candidates.select(F.explode(F.array("a", "b")).alias("id"))
     wanted = rows.sparkSession.sparkContext.broadcast(sketch.id_filter(ids))
@@ -189,14 +196,8 @@ def check_pairs(candidates: DataFrame, rows: DataFrame, k: int, threshold: float
 
 
 def expanded(members: DataFrame, links: DataFrame) -> DataFrame:
-    """``(a, b)``, a < b, for all pairs of rows: of one class, and of every two linked classes."""
-    m = members.select("class_id", "id")
-    copied = members.filter("copies > 1").select("class_id", "id")
-    inside = copied.withColumnRenamed("id", "a").join(copied.withColumnRenamed("id", "b"), "class_id").filter("a < b").select("a", "b")
-    left = m.select(F.col("class_id").alias("a"), F.col("id").alias("x"))
-    right = m.select(F.col("class_id").alias("b"), F.col("id").alias("y"))
-    across = links.select("a", "b").join(left, "a").join(right, "b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    return inside.unionByName(across)
+    """``(a, b)``, a < b, for all pairs of rows: of one class, and of every two linked classes; large classes are split."""
+    return similarity.all_pairs(members, links.withColumnRenamed("jaccard", "similarity")).select("a", "b")
 
 
 def _records(spark, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from corpusloom.llm.shingles import mix
+from corpusloom.operators.sketch import Frequencies, mix
 
 #: Sizes are put in bands [2 * 16^b, 2 * 16^(b+1)).
 _BAND_LOW, _BAND_RATIO = 2, 16
@@ -23,8 +23,8 @@ def band_top(b: np.ndarray) -> np.ndarray:
     return _BAND_LOW * _BAND_RATIO ** (np.asarray(b, np.int64) + 1)
 
 
-def signatures(offsets: np.ndarray, hashes: np.ndarray, ranks: np.ndarray, threshold: float, parts_per_feature: int = PARTS_PER_FEATURE):
-    """``(row, signature, prefix)`` arrays for sets given as offsets into ascending hashes.
+def signatures(offsets: np.ndarray, hashes: np.ndarray, seen: Frequencies, threshold: float, parts_per_feature: int = PARTS_PER_FEATURE):
+    """``(row, signature, prefix, rank)`` arrays for sets given as offsets into ascending hashes.
 
     For each size band the feature domain is cut into n parts. Two sets of similarity t or more, sizes a <= b,
     differ in at most (a + b)(1 - t) / (1 + t) features, so in at most k parts, where k follows from the size of
@@ -32,7 +32,8 @@ def signatures(offsets: np.ndarray, hashes: np.ndarray, ranks: np.ndarray, thres
     need be kept as signatures: they must include one on which both agree, as in a prefix filter whose items
     are parts. A set joins its own band and, when a smaller partner can lie there, the band below. Sets with k
     nonempty parts or fewer also get one part for each feature, so parts that are empty in both never matter.
-    ``prefix`` is the number of signatures kept in the instance, 0 where the count filter can't be used.
+    ``prefix`` is the number of signatures kept in the instance, 0 where the count filter can't be used; ``rank`` is that of the rarest
+    feature of the signature's content, which no more sets can share than have that feature.
     """
     sizes = np.diff(offsets)
     rows = np.arange(len(sizes))
@@ -47,22 +48,22 @@ def signatures(offsets: np.ndarray, hashes: np.ndarray, ranks: np.ndarray, thres
     ):
         who, b, k = who[sizes[who] > 0], b[sizes[who] > 0], k[sizes[who] > 0].astype(np.int64)
         if len(who):
-            few = _instance(offsets, hashes, ranks, who, b, k, band_top(b) * parts_per_feature, out)
+            few = _instance(offsets, hashes, seen, who, b, k, band_top(b) * parts_per_feature, out)
             if few.any():
-                _instance(offsets, hashes, ranks, who[few], b[few], k[few], None, out)
+                _instance(offsets, hashes, seen, who[few], b[few], k[few], None, out)
     if not out:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return tuple(np.concatenate([o[i] for o in out]) for i in range(3))
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint8)
+    return tuple(np.concatenate([o[i] for o in out]) for i in range(4))
 
 
-def _instance(offsets, hashes, ranks, who, b, k, n_parts, out):
+def _instance(offsets, hashes, seen, who, b, k, n_parts, out):
     """Appends the signatures of one instance; returns which sets have k nonempty parts or fewer."""
     sizes = np.diff(offsets)[who]
     total = int(sizes.sum())
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     local = np.repeat(np.arange(len(who)), sizes)
     h = hashes[np.arange(total) - np.repeat(starts, sizes) + np.repeat(offsets[who], sizes)]
-    rarity = ranks[(h & np.uint64(len(ranks) - 1)).astype(np.int64)]
+    rarity = seen.rank(h)
     if n_parts is None:
         tag = np.uint64(0xFA11) + b.astype(np.uint64)[local] * np.uint64(977)
         sig, rare, row = mix(h ^ mix(tag)), rarity, local
@@ -84,5 +85,5 @@ def _instance(offsets, hashes, ranks, who, b, k, n_parts, out):
     place = np.arange(len(order)) - np.repeat(np.concatenate([[0], np.cumsum(m)[:-1]]), m)
     chosen = order[place < keep[row[order]]]
     few = m <= k
-    out.append((who[row[chosen]], sig[chosen].view(np.int64), np.where(few, 0, k + 1)[row[chosen]]))
+    out.append((who[row[chosen]], sig[chosen].view(np.int64), np.where(few, 0, k + 1)[row[chosen]], rare[chosen]))
     return few if n_parts is not None else np.zeros(len(who), bool)

@@ -27,6 +27,7 @@ class Votes:
     now: str = "2025-01-01T00:00:00Z"
     stale_hash_trust: float = 0.5
     other_trust: float = 1.0
+    record: float = 1.0
 
 
 def fraction(accuracy: Column) -> Column:
@@ -44,8 +45,9 @@ def representatives(records: DataFrame, groups: DataFrame, votes: Votes = Votes(
 
     ``groups`` has ``(first_id, id)``. Each field of each record is a long row. Equal normalised values (name in
     lower case without separators, accuracy as a fraction, code by its hash) add up their votes before they are
-    shuffled; the value with most votes wins, ties going to the greater value. The field ``record`` has one value
-    per record, whose vote is the project's own order: accuracy, then code length, then name, then row_idx.
+    shuffled; the value with most votes wins by ``max_by``, and of equal ones that of the better record by the project's
+    own order: accuracy, then code length, then name, then row_idx. Every field goes by this one key. The field ``record`` has
+    one value per record and all have the same vote (``Votes.record``), since which record survives is that order's alone.
     Null, NaN and blank values have no vote; a field nobody fills is null in the result. No step gathers a group:
     all are aggregates with map-side combining, so the size of a group doesn't matter.
     """
@@ -61,32 +63,26 @@ def representatives(records: DataFrame, groups: DataFrame, votes: Votes = Votes(
         F.xxhash64("code").alias("code_key"),
         (trust * F.pow(F.lit(2.0), -F.coalesce(age, F.lit(3650.0)) / votes.half_life_days)).alias("vote"),
     ).join(groups.select(F.col("first_id").alias("first_row_idx"), F.col("id").alias("row_idx")), "row_idx")
-    order = F.struct(
-        F.col("acc").isNull().alias("no_acc"), (-F.col("acc")).alias("acc"), (-F.col("len")).alias("len"), F.col("name").isNull().alias("no_name"), F.col("name").alias("name"), F.col("row_idx").alias("row_idx")
-    )
+    # the project's own order, the greater the better: names ascend, so their bytes are inverted, with a last sign that puts a name before its continuations
+    inverted = F.concat(F.translate(F.hex(F.col("name")), "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("G"))
+    order = F.struct(F.col("acc").isNotNull().alias("known"), F.coalesce("acc", F.lit(0.0)).alias("acc"), F.col("len").alias("len"), F.coalesce(inverted, F.lit("")).alias("name"), (-F.col("row_idx")).alias("row"))
     none = F.lit(None)
-    row = lambda field, value, shown, vote, rank: F.struct(
-        F.lit(field).alias("field"), value.cast("string").alias("value"), shown.cast("string").alias("shown"), vote.cast("double").alias("vote"), rank.alias("rank")
-    )
-    no_rank = F.when(F.lit(False), order)
+    row = lambda field, value, shown, vote: F.struct(F.lit(field).alias("field"), value.cast("string").alias("value"), shown.cast("string").alias("shown"), vote.cast("double").alias("vote"))
     long = r.select(
         "first_row_idx",
+        order.alias("order"),
         F.inline(
             F.array(
-                row("record", F.col("row_idx"), F.col("row_idx"), F.lit(0.0), order),
-                row("name", F.regexp_replace(F.lower("name"), r"[^\p{L}\p{N}]+", ""), F.trim("name"), F.col("vote"), no_rank),
-                row("accuracy", F.col("acc"), F.col("acc"), F.col("vote"), no_rank),
-                row("code", F.col("code_key"), F.col("row_idx"), F.when(F.col("len") > 0, F.col("vote")), no_rank),
+                row("record", F.col("row_idx"), F.col("row_idx"), F.lit(votes.record)),
+                row("name", F.regexp_replace(F.lower("name"), r"[^\p{L}\p{N}]+", ""), F.trim("name"), F.col("vote")),
+                row("accuracy", F.col("acc"), F.col("acc"), F.col("vote")),
+                row("code", F.col("code_key"), F.col("row_idx"), F.when(F.col("len") > 0, F.col("vote"))),
             )
         ),
     ).filter("value is not null and vote is not null")
-    # the project's own order is a minimum of ranks; the votes of other fields are sums per value
-    summed = long.groupBy("first_row_idx", "field", "value").agg(F.sum("vote").alias("votes"), F.min("shown").alias("shown"), F.min("rank").alias("rank"))
-    won = summed.groupBy("first_row_idx", "field").agg(
-        F.when(F.col("field") == "record", F.min(F.when(F.col("rank").isNotNull(), F.struct("rank", "shown"))).getField("shown"))
-        .otherwise(F.max_by("shown", F.struct("votes", "value")))
-        .alias("winner")
-    )
+    # sums of votes are rounded, since the order in which they are added isn't fixed
+    summed = long.groupBy("first_row_idx", "field", "value").agg(F.round(F.sum("vote"), 9).alias("votes"), F.max("order").alias("order"), F.max_by("shown", "order").alias("shown"))
+    won = summed.groupBy("first_row_idx", "field").agg(F.max_by("shown", F.struct("votes", "order")).alias("winner"))
     wide = won.groupBy("first_row_idx").pivot("field", ["record", "name", "accuracy", "code"]).agg(F.first("winner"))
     return wide.select(
         "first_row_idx", F.col("record").cast("long").alias("survivor"), "name", F.col("accuracy").cast("double").alias("accuracy"), F.col("code").cast("long").alias("code_row_idx"), none.cast("string").alias("_")

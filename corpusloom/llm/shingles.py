@@ -8,11 +8,12 @@ from collections.abc import Iterator
 
 import numpy as np
 
+from corpusloom.operators.sketch import mix
+
 _WORD = re.compile(r"[A-Za-z0-9_]+")
 #: Texts are worked through in chunks of about this many characters, so a batch of very long ones needs no more memory.
 CHUNK_CHARS = 4_000_000
 _CACHE_WORDS = 500_000
-_M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -29,13 +30,6 @@ class _WordHashes(dict):
 _hashes = _WordHashes()
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    """The finaliser of splitmix64, elementwise."""
-    x = (x ^ (x >> np.uint64(30))) * _M1
-    x = (x ^ (x >> np.uint64(27))) * _M2
-    return x ^ (x >> np.uint64(31))
-
-
 def words(text: str) -> list[str]:
     """Runs of ASCII letters, digits and underscores, in lower case."""
     if text.isascii():

@@ -8,6 +8,8 @@ import pytest
 
 from corpusloom.llm import canonical, matches, neardup, partenum, representative
 from corpusloom.llm.shingles import shingle_sets
+from corpusloom.operators import sketch, skew
+from corpusloom.operators.sketch import Frequencies
 from corpusloom.workspace import Workspace
 
 RECORD = "row_idx long, id string, name string, code string, accuracy double, code_hash string, family_tag string, fetched_at timestamp, loaded_at timestamp"
@@ -55,14 +57,6 @@ def test_copies_on_awkward_rows(spark):
     assert canonical.copies(records(spark, [])).count() == 0
 
 
-def test_hot_group_takes_the_broadcast_path(spark):
-    from corpusloom.operators.skew import attach
-
-    members = spark.createDataFrame([(i, "k" if i % 3 else f"k{i}") for i in range(300)], "id long, key string")
-    groups = members.groupBy("key").count().withColumnRenamed("count", "n")
-    assert attach(members, groups, ["key"], "n", hot_rows=50).count() == 300
-
-
 def test_no_collisions_and_a_flagged_one(spark):
     df = spark.createDataFrame([(1, 7, 7, 1, 2), (2, 7, 7, 1, 2), (3, 7, 7, 9, 2)], "id long, h1 long, h2 long, check long, n_words int")
     groups = canonical.copy_groups(df)
@@ -79,14 +73,17 @@ def test_p1_groups_has_single_texts_and_the_flag(spark, tmp_path, monkeypatch):
     assert got() == {(3, 2, True), (8, 1, True), (9, 1, False)}
 
 
-def test_match_groups(spark):
+@pytest.mark.parametrize("hot_rows", [200_000, 3])
+def test_match_groups(spark, monkeypatch, hot_rows):
+    monkeypatch.setattr(skew, "HOT_ROWS", hot_rows)
     pairs = [("A_1", " 'b_1' "), ("b_1", "ghost"), ("GHOST", '"c_1"'), ("d_1", "d_1"), ("e_1", None), (None, "e_1"), ("f_1", " "), ("g_1", "h_1"), ("g_1", "h_1")]
     pairs += [(f"chain{i:03d}", f"chain{i + 1:03d}") for i in range(60)]  # longer than the breadth-first levels
+    pairs += [(f"leaf{i:03d}", "chain010") for i in range(30)]  # a hub
     m = spark.createDataFrame(pairs, "id string, canonical string").selectExpr("*", "1 AS node", "1 AS component")
-    ids = ["a_1", "b_1", "c_1", "d_1", "e_1", "f_1", "g_1", "h_1", *(f"chain{i:03d}" for i in range(0, 61, 7))]
+    ids = ["a_1", "b_1", "c_1", "d_1", "e_1", "f_1", "g_1", "h_1", "leaf007", *(f"chain{i:03d}" for i in range(0, 61, 7))]
     r = spark.createDataFrame([(i,) for i in ids], "id string").selectExpr("*", "2 AS node", "3 AS name")
     got = {tuple(x) for x in matches.consolidated(m, r).collect()}
-    want = {("a_1", "a_1"), ("a_1", "b_1"), ("a_1", "c_1"), ("g_1", "g_1"), ("g_1", "h_1")} | {("chain000", i) for i in ids if i.startswith("chain")}
+    want = {("a_1", "a_1"), ("a_1", "b_1"), ("a_1", "c_1"), ("g_1", "g_1"), ("g_1", "h_1")} | {("chain000", i) for i in ids if i.startswith(("chain", "leaf"))}
     assert got == want
     assert matches.consolidated(m.limit(0), r).count() == 0 and matches.consolidated(m, r.limit(0)).count() == 0
 
@@ -115,12 +112,15 @@ def edited(rng, n_base, n_copies, words):
 
 
 @pytest.mark.parametrize("seed, k, t, words", [(1, 3, 0.7, 9), (2, 5, 0.8, 3), (3, 3, 0.5, 2)])
-def test_near_duplicates_against_brute_force(spark, seed, k, t, words):
+@pytest.mark.parametrize("block", [8192, 2])
+def test_near_duplicates_against_brute_force(spark, monkeypatch, seed, k, t, words, block):
+    monkeypatch.setattr(sketch, "BLOCK_ROWS", block)  # the second splits signatures and classes
     codes = list(enumerate(edited(random.Random(seed), 30, 4, words)))
     codes += [(500, None), (501, ""), (502, "one two"), (503, codes[0][1].upper()), (504, codes[0][1])]
     df = records(spark, [(i, "n", c, 0.5) for i, c in codes], extra=True)
     members, links = neardup.near_duplicates(df, "row_idx", "code", k=k, threshold=t)
-    assert {tuple(r) for r in neardup.expanded(members, links).collect()} == similar(codes, k, t)
+    got = [tuple(r) for r in neardup.expanded(members, links).collect()]
+    assert len(got) == len(set(got)) and set(got) == similar(codes, k, t)
     whole = neardup.grouped(members, links, Workspace(spark))
     assert whole.count() == members.count()
 
@@ -139,8 +139,8 @@ def test_signatures_miss_no_pair():
     offsets, hashes = shingle_sets(texts, 2)
     import numpy as np
 
-    for ranks in (np.zeros(16, np.int32), np.arange(1024, dtype=np.int32)):
-        row, sig, _ = partenum.signatures(offsets, hashes, ranks, 0.6)
+    for levels in (np.zeros(16, np.uint8), np.arange(1024).astype(np.uint8)):
+        row, sig, *_ = partenum.signatures(offsets, hashes, Frequencies(levels, 0.0), 0.6)
         has = {}
         for r, s in zip(row.tolist(), sig.tolist()):
             has.setdefault(r, set()).add(s)
@@ -165,5 +165,10 @@ def test_survivors(spark):
     built = {r.first_row_idx: r for r in representative.representatives(df, canonical.copies(df)).collect()}
     assert {k: r.survivor for k, r in built.items()} == {1: 2, 6: 7, 8: 8}
     assert built[1].accuracy == 0.54 and built[1].name in ("a", "b") and built[6].accuracy is None
+    names = [(i, n, "one two three", 0.5) for i, n in enumerate(["b", "ab", "abc", "a b", "Z", "é"], 20)]
+    tied = records(spark, names)
+    assert representative.representatives(tied, canonical.copies(tied)).first().survivor == 24  # by bytes, capitals first
+    tied = tied.filter("row_idx in (21, 22)")
+    assert representative.representatives(tied, canonical.copies(tied)).first().survivor == 21  # a name before its continuation
     empty = records(spark, [])
     assert representative.representatives(empty, canonical.copies(empty)).count() == 0

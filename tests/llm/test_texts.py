@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from corpusloom.llm import language, leaks, packing
+from corpusloom.operators import skew
 
 needs_tokenizers = pytest.mark.skipif(not os.path.isdir(packing.TOKENIZERS), reason="the public tokenizers' files aren't here")
 
@@ -90,15 +91,32 @@ def test_passages_against_dynamic_programme():
     assert seen == {True, False}
 
 
-def test_anchors_survive_any_edits_of_a_passage():
-    rng = random.Random(2)
-    words = [f"w{rng.randrange(30)}" for _ in range(90)]
-    g = leaks.gram(words)
-    chosen = set(leaks.choose_anchors(words, {t: rng.randrange(9) for t in leaks.terms(words, g)}))
-    for n in range(leaks.least_words(90), 91):
-        for start in range(0, 91 - n):
+@pytest.mark.parametrize("m", [1, 2, 5, 11, 20, 39, 90])
+def test_anchors_survive_any_edits_of_a_passage(m):
+    rng = random.Random(m)
+    g = leaks.gram(["w"] * m)
+    chosen = set(leaks.choose_anchors(m, g, [rng.randrange(9) for _ in range(m - g + 1)]))
+    for n in range(leaks.least_words(m), m + 1):
+        for start in range(0, m + 1 - n):
             inside = sum(start <= p <= start + n - g for p in chosen)
-            assert inside >= g * (n // leaks.EDIT_EVERY) + leaks.HITS
+            assert inside >= min(n - g + 1, g * (n // leaks.EDIT_EVERY) + leaks.HITS)
+
+
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("a <b>c</b> d", "a c d"),
+        ('x <a href="http://u/v?w=1" title=\'y z\' class=k disabled>t</a >', "x t"),
+        ("a <img alt='" + "w " * 5000 + "'/> b", "a b"),
+        ("n <m, then more > text", "n m then more text"),
+        ("if a <b and c[0] > d", "if a b and c 0 d"),
+        ("<br/>a<hr />b", "a b"),
+        ("<" * 50_000 + "a", "a"),
+        ("<a " * 20_000, "a " * 20_000),
+    ],
+)
+def test_markup_is_no_word(text, want):
+    assert leaks.plain_words(text) == want.split()
 
 
 def test_leaks(spark):
@@ -124,11 +142,30 @@ def test_leaks(spark):
     assert leaks.leaked(d.limit(0), items).count() == 0 and leaks.leaked(d, items.limit(0)).count() == 0
 
 
-def test_blocks_of_items_give_the_same(spark, monkeypatch):
-    d = spark.createDataFrame([(i, f"a{i} b{i} c{i} d{i}") for i in range(6)], "doc_id long, text string")
-    items = d.withColumnRenamed("doc_id", "item_id")
-    monkeypatch.setattr(leaks, "BLOCK_ITEMS", 2)
-    assert {tuple(r) for r in leaks.leaked(d, items).collect()} == {(i, i) for i in range(6)}
+@pytest.mark.parametrize("sent, hot", [(500_000, 200_000), (0, 0)])
+def test_many_items_and_hot_terms_give_the_same(spark, monkeypatch, sent, hot):
+    monkeypatch.setattr(leaks, "MOST_SENT_TERMS", sent)
+    monkeypatch.setattr(skew, "HOT_ROWS", hot)
+    d = spark.createDataFrame([(i, f"a{i} b{i} c{i} d{i}") for i in range(40)] + [(90, "same words here as there")] * 3, "doc_id long, text string")
+    items = d.withColumnRenamed("doc_id", "item_id").unionByName(spark.createDataFrame([(3, "a7 b7 c7 d7")], "item_id long, text string"))
+    assert sorted(tuple(r) for r in leaks.leaked(d, items).collect()) == sorted([(i, i) for i in range(40)] + [(90, 90), (7, 3)])
+
+
+def test_found_leaks_against_the_dynamic_programme(spark):
+    rng = random.Random(21)
+    word = lambda: rng.choice("abcdefgh") + str(rng.randrange(40))
+    items = [(i, [word() for _ in range(rng.choice([3, 8, 20, 45]))]) for i in range(12)]
+    docs = []
+    for n in range(80):
+        part = list(rng.choice(items)[1])
+        part = part[rng.randrange(len(part) // 2 + 1) :][: rng.randrange(len(part) // 3, len(part)) + 1]
+        for _ in range(rng.randrange(0, 4)):
+            at = rng.randrange(len(part) + 1)
+            part[at : at + rng.randrange(2)] = [word()] * rng.randrange(2)
+        docs.append((n, [word() for _ in range(rng.randrange(60))] + part + [word() for _ in range(rng.randrange(60))]))
+    table = lambda rows, name: spark.createDataFrame([(i, " ".join(w)) for i, w in rows], f"{name} long, text string")
+    want = {(d, i) for d, dw in docs for i, iw in items if edit_distance_says(iw, dw)}
+    assert {tuple(r) for r in leaks.leaked(table(docs, "doc_id"), table(items, "item_id")).collect()} == want and want
 
 
 def test_sentences():
@@ -145,6 +182,8 @@ def test_sentences():
     ]
     assert text[found[2][0] : found[2][1]] == "Dies ist ein ganzer Satz im Kommentar."
     assert language.sentences("") == [] and language.sentences("...") == []
+    wrapped = "x = f(1)\n    # The block is dropped here since it was\n    # never used again.\n    # Another heading like line\ny = 2\n# Title\nOne two three four (or five, as before) six seven.\n"
+    assert [" ".join(w) for *_, w in language.sentences(wrapped)] == ["the block is dropped here since it was never used again", "one two three four or five as before six seven"]
 
 
 def test_forward_sums_all_segmentations():
@@ -201,8 +240,27 @@ def test_languages_of_held_out_texts(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").selectExpr("*", "1 AS named", "2 AS id", "3 AS label")
     langs = spark.createDataFrame(LANGUAGES, "lang string, lang3 string, english_name string, own_name string")
     got = {}
-    for r in language.segments(docs, langs).collect():
-        got.setdefault(r.doc_id, set()).add(r.lang)
-        assert 0.95 <= r.confidence <= 1 and r.start < r.stop
+    found = language.segments(docs, langs).collect()
+    assert all(0 < r.confidence <= 1 and r.start < r.stop for r in found)
+    for r in found:
+        if r.confidence >= language.LEAST_CONFIDENCE:
+            got.setdefault(r.doc_id, set()).add(r.lang)
     assert got == truth
     assert language.segments(docs.limit(0), langs).count() == 0
+    whole = {r.doc_id: r for r in language.document_languages(docs, langs).collect()}
+    assert set(whole) == {r[0] for r in rows if r[0] is not None}
+    assert sum(whole[i].lang in truth[i] for i in truth) == len(truth) and whole[903].confidence > 0.99 and whole[903].sentences == 1
+    assert all((whole[i].lang, whole[i].confidence, whole[i].sentences) == (None, 0.0, 0) for i in (900, 901))
+    assert whole[902].lang is not None and 0 < whole[902].confidence < 1 and whole[902].sentences == 0
+
+
+@needs_tokenizers
+def test_unsure_sentences_are_kept_apart(spark, monkeypatch):
+    """A sentence that two languages could say has a row with its confidence, and lowers no other's."""
+    langs = spark.createDataFrame(LANGUAGES, "lang string, lang3 string, english_name string, own_name string")
+    say = lambda lang, n: SAID[lang][n % 3].format("x" * 90).capitalize() + "."
+    rows = [(i, " ".join(say(lang, i + n) for n in range(3)), lang) for i, lang in enumerate(["en", "de", "fr"] * 10)]
+    rows.append((99, say("en", 0) + " Zo ru ti mo ka. " + say("en", 1), "en"))
+    got = [r for r in language.segments(spark.createDataFrame(rows, "doc_id long, text string, lang string"), langs).collect() if r.doc_id == 99]
+    sure = [r for r in got if r.confidence >= language.LEAST_CONFIDENCE]
+    assert {r.lang for r in sure} == {"en"} and sum(r.stop - r.start for r in got) >= len(rows[-1][1]) - 4
