@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 #: Counters of a frequency sketch: some for every row within these bounds (2^20 to 2^22). Executors get one byte for each counter.
-LEAST_COUNT_BITS, MOST_COUNT_BITS, COUNTERS_PER_ROW = 20, 22, 16
+LEAST_COUNT_BITS, MOST_COUNT_BITS, COUNTERS_PER_ROW = 20, 22, 4
 #: Bits of an id filter: some for every id within these bounds (128 kB to 32 MB).
 LEAST_FILTER_BITS, MOST_FILTER_BITS, BITS_PER_ID = 20, 28, 16
 #: Keys that more rows than this may share are split into blocks of so many.
@@ -58,12 +58,13 @@ def as_batch(cells: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(range(CHUNKS), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], names=["chunk", "cells"])
 
 
-def merged(partials: DataFrame, dtype: type, combine: Callable = np.add) -> np.ndarray:
+def merged(partials: DataFrame, dtype: type, combine: Callable = np.add, finish: Callable | None = None, out: type | None = None) -> np.ndarray:
     """The cells of all partial sketches ``(chunk, cells)`` together.
 
-    Partials are merged as a stream, chunk by chunk, on the executors; what reaches the driver is one sketch, whose
-    size has the bounds stated above.
+    Partials are merged as a stream, chunk by chunk, on the executors, and turned there into what is kept of them by ``finish``;
+    what reaches the driver is one sketch, whose size has the bounds stated above.
     """
+    out = out or dtype
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -72,12 +73,12 @@ def merged(partials: DataFrame, dtype: type, combine: Callable = np.add) -> np.n
                 part = np.frombuffer(cells, dtype)
                 sums[chunk] = combine(sums[chunk], part) if chunk in sums else part.copy()
         if sums:
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], names=["chunk", "cells"])
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([(finish(v) if finish else v).tobytes() for v in sums.values()], pa.binary())], names=["chunk", "cells"])
 
     rows = partials.repartition(8, "chunk").mapInArrow(add_up, SCHEMA).collect()
     if not rows:
-        return np.zeros(0, dtype)
-    return np.concatenate([np.frombuffer(r.cells, dtype) for r in sorted(rows, key=lambda r: r.chunk)])
+        return np.zeros(0, out)
+    return np.concatenate([np.frombuffer(r.cells, out) for r in sorted(rows, key=lambda r: r.chunk)])
 
 
 @dataclass
@@ -100,10 +101,11 @@ class Frequencies:
 def frequencies(partials: DataFrame) -> Frequencies:
     """From partial sketches of uint32 counters."""
     add = lambda x, y: np.minimum(x.astype(np.uint64) + y, 2**32 - 1).astype(np.uint32)
-    counts = merged(partials, np.uint32, add)
-    if not len(counts):
-        counts = np.zeros(1 << LEAST_COUNT_BITS, np.uint32)
-    return Frequencies(np.round(_STEPS * np.log2(counts.astype(np.float64) + 1)).astype(np.uint8), float(counts.mean()))
+    level = lambda counts: np.round(_STEPS * np.log2(counts.astype(np.float64) + 1)).astype(np.uint8)
+    levels = merged(partials, np.uint32, add, level, np.uint8)
+    if not len(levels):
+        levels = np.zeros(1 << LEAST_COUNT_BITS, np.uint8)
+    return Frequencies(levels, float((np.exp2(np.arange(256) / _STEPS) - 1)[levels].mean()))
 
 
 def split_within(keys: np.ndarray, ids: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
