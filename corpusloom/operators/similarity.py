@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,19 +57,27 @@ def _numbers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([[0], np.cumsum(sizes)]), np.asarray(column.flatten()).astype(np.int64).view(np.uint64)
 
 
-def _frequencies(sets: DataFrame, ws: Workspace):
-    n_bits = sketch.count_bits(sets.count())
+def _facts(sets: DataFrame, ws: Workspace) -> tuple[DataFrame, Broadcast]:
+    """``(id, n, *PARITY)`` of each set by one pass, and about how often items occur in all of them."""
+    n_bits, id_type = sketch.count_bits(sets.count()), sets.schema["id"].dataType.simpleString()
+    names = ["id", "n", *sketch.PARITY, "chunk", "cells"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.zeros(1 << n_bits, np.uint32)
-        seen = False
+        cells, kind = np.zeros(1 << n_bits, np.uint32), None
         for batch in batches:
-            seen |= batch.num_rows > 0
-            sketch.count_into(cells, _numbers(batch.column(0))[1])
-        if seen:
-            yield sketch.as_batch(cells)
+            offsets, hashes = _numbers(batch.column(1))
+            sketch.count_into(cells, hashes)
+            bits = sketch.parity(offsets, hashes)
+            kind = batch.column(0).type
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(offsets).astype(np.int32)), *(pa.array(np.ascontiguousarray(b)) for b in bits.T), pa.nulls(batch.num_rows, pa.int32()), pa.nulls(batch.num_rows, pa.binary())], names=names)
+        if kind is not None:
+            part = sketch.as_batch(cells)
+            yield pa.RecordBatch.from_arrays([pa.nulls(part.num_rows, kind), pa.nulls(part.num_rows, pa.int32()), *[pa.nulls(part.num_rows, pa.int64())] * sketch.PARITY_WORDS, part.column(0), part.column(1)], names=names)
 
-    return sets.sparkSession.sparkContext.broadcast(sketch.frequencies(sets.select("items").mapInArrow(count, sketch.SCHEMA)))
+    longs = ", ".join(f"{w} long" for w in sketch.PARITY)
+    rows = ws.table(sets.select("id", "items").mapInArrow(count, f"id {id_type}, n int, {longs}, chunk int, cells binary"), "facts")
+    sent = sets.sparkSession.sparkContext.broadcast(sketch.frequencies(rows.filter("chunk is not null").select("chunk", "cells")))
+    return rows.filter("chunk is null").select("id", "n", *sketch.PARITY), sent
 
 
 def _prefixes(sets: DataFrame, sent, threshold: float) -> DataFrame:
@@ -120,7 +129,8 @@ def similar_classes(sets: DataFrame, threshold: float, verify: Column | None = N
     ws = ws or Workspace(sets.sparkSession)
     members, reps = _classes(_written(sets, ws), ws)
     reps = reps.filter("size(items) > 0")
-    prefix = _prefixes(reps, _frequencies(reps, ws), threshold)
+    facts, seen = _facts(reps, ws)
+    prefix = _prefixes(reps, seen, threshold)
     left, right = prefix.toDF("key", "sa", "family", "a", "na", "i"), prefix.toDF("key", "sb", "family", "b", "nb", "j")
     na, nb, i, j = (F.col(c) for c in ("na", "nb", "i", "j"))
     required = F.ceil((na + nb) * (threshold / (1 + threshold)) - _EPS)
@@ -131,6 +141,7 @@ def similar_classes(sets: DataFrame, threshold: float, verify: Column | None = N
     need = F.greatest(F.lit(1), required - F.greatest(rest(na), rest(nb))).cast("int")
     hits = left.join(right, ["family", "key"]).filter((F.col("a") < F.col("b")) & near & meet).select("a", "b", need.alias("need"))
     pairs = hits.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("need").alias("need")).filter("shared >= need").select("a", "b")
+    pairs = sketch.by_parity(pairs, facts, threshold)
     return members, ws.table(_verified(ws.table(pairs, "candidates"), reps, F.lit(threshold) if verify is None else verify), "links")
 
 

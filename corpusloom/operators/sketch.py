@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 #: Counters of a frequency sketch: some for every row within these bounds (2^20 to 2^22). Executors get one byte for each counter.
 LEAST_COUNT_BITS, MOST_COUNT_BITS, COUNTERS_PER_ROW = 20, 22, 4
@@ -15,6 +17,9 @@ LEAST_COUNT_BITS, MOST_COUNT_BITS, COUNTERS_PER_ROW = 20, 22, 4
 LEAST_FILTER_BITS, MOST_FILTER_BITS, BITS_PER_ID = 20, 28, 16
 #: Keys that more rows than this may share are split into blocks of so many.
 BLOCK_ROWS = 8192
+#: Longs of parity bits of a set.
+PARITY_WORDS = 8
+PARITY = [f"w{i}" for i in range(PARITY_WORDS)]
 CHUNKS = 64
 SCHEMA = "chunk int, cells binary"
 _STEPS = 8  # of the logarithmic scale to a doubling
@@ -108,6 +113,22 @@ def frequencies(partials: DataFrame) -> Frequencies:
     return Frequencies(levels, float((np.exp2(np.arange(256) / _STEPS) - 1)[levels].mean()))
 
 
+def parity(offsets: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """PARITY_WORDS longs for each set; each item flips one of their bits."""
+    sizes, width = np.diff(offsets), 64 * PARITY_WORDS
+    bit = np.repeat(np.arange(len(sizes)), sizes) * width + (hashes >> np.uint64(64 - (width - 1).bit_length())).astype(np.int64)
+    odd = (np.bincount(bit, minlength=len(sizes) * width) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64).reshape(len(sizes), PARITY_WORDS)
+
+
+def by_parity(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """The pairs ``(a, b)`` of sets ``(id, n, *PARITY)`` that their parity bits don't rule out: sets that differ in d items differ in at most d bits."""
+    side = lambda x: sets.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), *(F.col(w).alias(f"{x}{w}") for w in PARITY))
+    flipped = reduce(lambda x, y: x + y, [F.bit_count(F.col(f"a{w}").bitwiseXOR(F.col(f"b{w}"))) for w in PARITY])
+    d = F.floor((F.col("n_a") + F.col("n_b")) * ((1 - threshold) / (1 + threshold)) + 1e-9)
+    return pairs.join(side("a"), "a").join(side("b"), "b").filter(flipped <= d).select("a", "b")
+
+
 def split_within(keys: np.ndarray, ids: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Splits hot keys of a self-join, as ``(row, key, side)``.
 
