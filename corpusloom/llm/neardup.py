@@ -7,7 +7,6 @@ size band share a signature; candidates are then verified exactly.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,18 +25,6 @@ _KEYS = ["k1", "k2", "n"]
 _PREFIX_BITS, _SIDE_BITS = 22, 2  # beside a set's size in one long
 
 
-_WORDS = 8  # longs of parity bits of a set
-_PARITY = [f"w{i}" for i in range(_WORDS)]
-
-
-def _parity(offsets: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """512 bits for each set; each feature flips one of them."""
-    sizes = np.diff(offsets)
-    bit = np.repeat(np.arange(len(sizes)), sizes) * (64 * _WORDS) + (hashes >> np.uint64(64 - 9)).astype(np.int64)
-    odd = (np.bincount(bit, minlength=len(sizes) * 64 * _WORDS) & 1).astype(np.uint8)
-    return np.packbits(odd).view(np.int64).reshape(len(sizes), _WORDS)
-
-
 def set_keys(rows: DataFrame, k: int, n_bits: int, id_type: str = "long") -> DataFrame:
     """``(id, k1, k2, n)`` and parity bits for rows ``(id, text)`` that have a shingle, and the partial frequency sketches of 2^n_bits counters in ``(chunk, cells)``."""
 
@@ -45,7 +32,7 @@ def set_keys(rows: DataFrame, k: int, n_bits: int, id_type: str = "long") -> Dat
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(1 << n_bits, np.uint32)
-        names = ["id", "k1", "k2", "n", *_PARITY, "chunk", "cells"]
+        names = ["id", "k1", "k2", "n", *sketch.PARITY, "chunk", "cells"]
         seen = False
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).to_pylist()
@@ -56,16 +43,16 @@ def set_keys(rows: DataFrame, k: int, n_bits: int, id_type: str = "long") -> Dat
                 have = np.flatnonzero(sizes)
                 seen |= len(have) > 0
                 keys = np.frombuffer(b"".join(set_key(hashes[offsets[i] : offsets[i + 1]]) for i in have), np.int64).reshape(-1, 2)
-                parity = _parity(offsets, hashes)[have]
+                parity = sketch.parity(offsets, hashes)[have]
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(a, b - a).take(pa.array(have)), pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(sizes[have]), *(pa.array(parity[:, i]) for i in range(_WORDS)), pa.nulls(len(have), pa.int32()), pa.nulls(len(have), pa.binary())], names=names
+                    [ids.slice(a, b - a).take(pa.array(have)), pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(sizes[have]), *(pa.array(parity[:, i]) for i in range(sketch.PARITY_WORDS)), pa.nulls(len(have), pa.int32()), pa.nulls(len(have), pa.binary())], names=names
                 )
         if seen:
             part = sketch.as_batch(cells)
             none = pa.nulls(part.num_rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.nulls(part.num_rows, id_arrow), *[none] * (3 + _WORDS), part.column(0), part.column(1)], names=names)
+            yield pa.RecordBatch.from_arrays([pa.nulls(part.num_rows, id_arrow), *[none] * (3 + sketch.PARITY_WORDS), part.column(0), part.column(1)], names=names)
 
-    return rows.mapInArrow(keyed, f"id {id_type}, k1 long, k2 long, n long, {', '.join(w + ' long' for w in _PARITY)}, chunk int, cells binary")
+    return rows.mapInArrow(keyed, f"id {id_type}, k1 long, k2 long, n long, {', '.join(w + ' long' for w in sketch.PARITY)}, chunk int, cells binary")
 
 
 def frequencies(first: DataFrame):
@@ -170,19 +157,11 @@ def near_duplicates(records: DataFrame, id_col: str, text_col: str, k: int = 5,
     meet = (side_a == 2) | (side_b == 2) | (side_a != side_b)
     matched = left.join(right, "sig").filter((F.col("a") < F.col("b")) & size_ok & meet)
     found = matched.select("a", "b", need.cast("int").alias("need")).groupBy("a", "b").agg(F.count("*").alias("shared"), F.min("need").alias("need"))
-    close = by_parity(found.filter("shared >= need").select("a", "b"), first.filter("chunk is null").select("id", "n", *_PARITY), threshold)
+    close = sketch.by_parity(found.filter("shared >= need").select("a", "b"), first.filter("chunk is null").select("id", "n", *sketch.PARITY), threshold)
     links = ws.table(check_pairs(ws.table(close, "candidates"), rows, k, threshold), "pairs")
     return members, links
 
 
-def by_parity(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The pairs ``(a, b)`` that their parity bits don't rule out: sets that differ in d features differ in at most d bits."""
-    side = lambda x: sets.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), *(F.col(w).alias(f"{x}{w}") for w in _PARITY))
-    flipped = reduce(lambda x, y: x + y, [F.bit_count(F.col(f"a{w}").bitwiseXOR(F.col(f"b{w}"))) for w in _PARITY])
-    d = F.floor((F.col("n_a") + F.col("n_b")) * ((1 - threshold) / (1 + threshold)) + _EPS)
-    return pairs.join(side("a"), "a").join(side("b"), "b").filter(flipped <= d).select("a", "b")
-
-
 def check_pairs(candidates: DataFrame, rows: DataFrame, k: int, threshold: float) -> DataFrame:
     """``(a, b, jaccard)`` of the candidates ``(a, b)``, a written table, that reach the threshold on their whole texts.
 
