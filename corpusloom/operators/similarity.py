@@ -34,8 +34,7 @@ def _written(sets: DataFrame, ws: Workspace) -> DataFrame:
     # pushed below, they would work the items out once more for each of their elements
     hashes = sets.schema["items"].dataType.simpleString() == "array<bigint>"
     items = F.array_sort(F.array_distinct(F.col("items") if hashes else F.transform("items", lambda x: F.xxhash64(x))))
-    rows = ws.table(sets.select("id", "family", items.alias("items")).filter("id is not null and family is not null"), "sets")
-    return rows.filter("items is not null")
+    return ws.table(sets.select("id", "family", items.alias("items")).filter("id is not null and family is not null and items is not null"), "sets")
 
 
 def _classes(sets: DataFrame, ws: Workspace) -> tuple[DataFrame, DataFrame]:
@@ -48,6 +47,7 @@ def _classes(sets: DataFrame, ws: Workspace) -> tuple[DataFrame, DataFrame]:
     members = ws.table(several.unionByName(single), "members")
     # a table of its own, so that its size is known and a small one is broadcast instead of shuffling the sets
     further = ws.table(members.filter("id <> class_id").select("id"), "further")
+    ws.drop(keyed, classes)
     return members, sets.join(further, "id", "left_anti")
 
 
@@ -77,7 +77,7 @@ def _facts(sets: DataFrame, ws: Workspace) -> tuple[DataFrame, Broadcast]:
     longs = ", ".join(f"{w} long" for w in sketch.PARITY)
     rows = ws.table(sets.select("id", "items").mapInArrow(count, f"id {id_type}, n int, {longs}, chunk int, cells binary"), "facts")
     sent = sets.sparkSession.sparkContext.broadcast(sketch.frequencies(rows.filter("chunk is not null").select("chunk", "cells")))
-    return rows.filter("chunk is null").select("id", "n", *sketch.PARITY), sent
+    return rows, sent
 
 
 def _prefixes(sets: DataFrame, sent, threshold: float) -> DataFrame:
@@ -127,7 +127,8 @@ def similar_classes(sets: DataFrame, threshold: float, verify: Column | None = N
     for some rows. Rows with a null family, id or set match nothing.
     """
     ws = ws or Workspace(sets.sparkSession)
-    members, reps = _classes(_written(sets, ws), ws)
+    written = _written(sets, ws)
+    members, reps = _classes(written, ws)
     reps = reps.filter("size(items) > 0")
     facts, seen = _facts(reps, ws)
     prefix = _prefixes(reps, seen, threshold)
@@ -141,8 +142,10 @@ def similar_classes(sets: DataFrame, threshold: float, verify: Column | None = N
     need = F.greatest(F.lit(1), required - F.greatest(rest(na), rest(nb))).cast("int")
     hits = left.join(right, ["family", "key"]).filter((F.col("a") < F.col("b")) & near & meet).select("a", "b", need.alias("need"))
     pairs = hits.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("need").alias("need")).filter("shared >= need").select("a", "b")
-    pairs = sketch.by_parity(pairs, facts, threshold)
-    return members, ws.table(_verified(ws.table(pairs, "candidates"), reps, F.lit(threshold) if verify is None else verify), "links")
+    candidates = ws.table(sketch.by_parity(pairs, facts.filter("chunk is null"), threshold), "candidates")
+    links = ws.table(_verified(candidates, reps, F.lit(threshold) if verify is None else verify), "links")
+    ws.drop(written, facts, candidates)
+    return members, links
 
 
 def chained(members: DataFrame, links: DataFrame) -> DataFrame:
@@ -246,8 +249,11 @@ def lsh_classes(sets: DataFrame, threshold: float, verify: Column | None = None,
     All pairs of classes in a bucket are verified.
     """
     ws = ws or Workspace(sets.sparkSession)
-    members, reps = _classes(_written(sets, ws), ws)
+    written = _written(sets, ws)
+    members, reps = _classes(written, ws)
     reps = reps.filter("size(items) > 0")
     bands = ws.table(minhash_bands(reps, threshold), "bands")
     candidates = ws.table(bucket_pairs(bands, ws), "candidates")
-    return members, ws.table(_verified(candidates, reps, F.lit(threshold) if verify is None else verify), "links")
+    links = ws.table(_verified(candidates, reps, F.lit(threshold) if verify is None else verify), "links")
+    ws.drop(written, bands, candidates)
+    return members, links

@@ -63,7 +63,10 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 class Workspace:
-    """Writes tables that cut lineage, and removes those that are no longer read."""
+    """Writes tables that cut lineage, and removes those that are no longer read.
+
+    What is left goes when the process ends, or at the end of a ``with`` block, after which nothing made from its tables can be read.
+    """
 
     def __init__(self, spark: SparkSession):
         ship(spark)
@@ -72,6 +75,12 @@ class Workspace:
         self._n = 0
         atexit.register(self.close)
 
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
     def table(self, df: DataFrame, name: str = "t") -> DataFrame:
         """``df`` as a written table. A lost executor costs only the rows it had not yet written."""
         self._n += 1
@@ -92,6 +101,7 @@ class Workspace:
             self._delete(self.root)
         except Exception:  # the session is gone
             pass
+        atexit.unregister(self.close)
 
     def _delete(self, path: str) -> None:
         jvm = self.spark._jvm
