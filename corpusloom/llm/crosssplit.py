@@ -104,13 +104,15 @@ def cross_split_links(rows: DataFrame, k: int = 5, threshold: float = 0.8, ws: W
     with_text = candidates.join(text.toDF("a", "text_a"), "a").join(text.toDF("b", "text_b"), "b").select("a", "b", "text_a", "text_b")
     near = verified(with_text, k, threshold)
     same = classes.filter("in_eval and in_train").select(F.col("cid").alias("a"), F.col("cid").alias("b"), F.lit(1.0).alias("jaccard"))
-    return members, ws.table(near.unionByName(same).toDF("eval_cid", "train_cid", "jaccard"), "links")
+    links = ws.table(near.unionByName(same).toDF("eval_cid", "train_cid", "jaccard"), "links")
+    ws.drop(first, keyed, classes, texts, candidates)
+    return members, links
 
 
 def _class_texts(rows: DataFrame, reps: DataFrame, ws: Workspace) -> DataFrame:
     """``(cid, in_eval, in_train, text)``, one text for each class; a row that is repeated as a whole counts once."""
     found = rows.select("name", "text").join(reps, "name")
-    return ws.table(found.dropDuplicates(["cid"]), "texts").select("cid", "in_eval", "in_train", "text")
+    return ws.table(found.dropDuplicates(["cid"]).select("cid", "in_eval", "in_train", "text"), "texts")
 
 
 def _chat(spark, sf_dir: str) -> DataFrame:

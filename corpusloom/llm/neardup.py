@@ -158,7 +158,9 @@ def near_duplicates(records: DataFrame, id_col: str, text_col: str, k: int = 5,
     matched = left.join(right, "sig").filter((F.col("a") < F.col("b")) & size_ok & meet)
     found = matched.select("a", "b", need.cast("int").alias("need")).groupBy("a", "b").agg(F.count("*").alias("shared"), F.min("need").alias("need"))
     close = sketch.by_parity(found.filter("shared >= need").select("a", "b"), first.filter("chunk is null").select("id", "n", *sketch.PARITY), threshold)
-    links = ws.table(check_pairs(ws.table(close, "candidates"), rows, k, threshold), "pairs")
+    candidates = ws.table(close, "candidates")
+    links = ws.table(check_pairs(candidates, rows, k, threshold), "pairs")
+    ws.drop(first, classes, extra, candidates)
     return members, links
 
 
