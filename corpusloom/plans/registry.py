@@ -14,7 +14,7 @@ from corpusloom.operators import chat, exact, retention, similarity, splits
 from corpusloom.operators.components import connected_components
 from corpusloom.plans import curate as stage1
 from corpusloom.sources import sinks
-from corpusloom.workspace import Workspace
+from corpusloom.workspace import Workspace, spread
 
 INCLUDES = ["ResNet", "VGG", "FractalNet", "Res"]
 PREFER = ["FractalNet", "ResNet"]
@@ -74,7 +74,7 @@ def _word_sets(spark, d):
     r = ws.table(_records(spark, d), "records")
     one = r.groupBy("code_hash").agg(F.min(exact.quality_key()).alias("k")).select(F.col("k.row_idx").alias("row_idx"))
     # words are a column of their own, or each run of them would read the whole text again
-    words = r.join(one, "row_idx").select(F.col("row_idx").alias("id"), F.col("family_tag").alias("family"), word_tokens(F.col("code")).alias("w"))
+    words = spread(r.join(one, "row_idx")).select(F.col("row_idx").alias("id"), F.col("family_tag").alias("family"), word_tokens(F.col("code")).alias("w"))
     return words.select("id", "family", shingles(F.col("w"), 10).alias("items"))
 
 
