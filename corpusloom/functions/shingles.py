@@ -16,3 +16,10 @@ def shingles(tokens: Column, k: int) -> Column:
     n = F.size(tokens)
     runs = F.transform(F.sequence(F.lit(1), F.greatest(n - (k - 1), F.lit(1))), lambda i: F.array_join(F.slice(tokens, i, k), " "))
     return F.when(n > 0, F.array_distinct(runs)).otherwise(F.array().cast("array<string>"))
+
+
+def shingle_hashes(hashes: Column, k: int) -> Column:
+    """The runs of :func:`shingles` as 64-bit hashes, from a column of the tokens' hashes, without building a text for each run."""
+    n = F.size(hashes)
+    runs = F.transform(F.sequence(F.lit(1), F.greatest(n - (k - 1), F.lit(1))), lambda i: F.xxhash64(F.slice(hashes, i, k)))
+    return F.when(n > 0, F.array_distinct(runs)).otherwise(F.array().cast("array<bigint>"))

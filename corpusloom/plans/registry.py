@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import names
 from corpusloom.functions.pycode import with_features
-from corpusloom.functions.shingles import shingles, word_tokens
+from corpusloom.functions.shingles import shingle_hashes, shingles, word_tokens
 from corpusloom.operators import chat, exact, retention, similarity, splits
 from corpusloom.operators.components import connected_components
 from corpusloom.plans import curate as stage1
@@ -71,11 +71,13 @@ def word_shingle_counts(spark, d):
 def _word_sets(spark, d):
     # the best record of each code: exact copies are gone before anything is compared
     ws = Workspace(spark)
-    r = ws.table(_records(spark, d), "records")
-    one = r.groupBy("code_hash").agg(F.min(exact.quality_key()).alias("k")).select(F.col("k.row_idx").alias("row_idx"))
-    # words are a column of their own, or each run of them would read the whole text again
-    words = spread(r.join(one, "row_idx")).select(F.col("row_idx").alias("id"), F.col("family_tag").alias("family"), word_tokens(F.col("code")).alias("w"))
-    return words.select("id", "family", shingles(F.col("w"), 10).alias("items"))
+    slim = ws.table(_records(spark, d).drop("code"), "records")
+    one = slim.groupBy("code_hash").agg(F.min(exact.quality_key()).alias("k"), F.min_by("family_tag", exact.quality_key()).alias("family"))
+    one = ws.table(one.select(F.col("k.row_idx").alias("row_idx"), "family"), "one")
+    # each step is a column of its own, or each of its elements would work out the one before once more
+    words = spread(_t(spark, d, "records").select("row_idx", "code")).join(one, "row_idx").select(F.col("row_idx").alias("id"), "family", word_tokens(F.col("code")).alias("w"))
+    words = words.select("id", "family", F.transform("w", lambda t: F.xxhash64(t)).alias("w"))
+    return words.select("id", "family", shingle_hashes(F.col("w"), 10).alias("items"))
 
 
 def _rounded(links):
