@@ -34,21 +34,23 @@ def _written(sets: DataFrame, ws: Workspace) -> DataFrame:
     # pushed below, they would work the items out once more for each of their elements
     hashes = sets.schema["items"].dataType.simpleString() == "array<bigint>"
     items = F.array_sort(F.array_distinct(F.col("items") if hashes else F.transform("items", lambda x: F.xxhash64(x))))
-    return ws.table(sets.select("id", "family", items.alias("items")).filter("id is not null and family is not null and items is not null"), "sets")
+    # a row's number takes the place of its id wherever pairs are shuffled
+    numbered = sets.select("id", "family", items.alias("items"), F.monotonically_increasing_id().alias("number"))
+    return ws.table(numbered.filter("id is not null and family is not null and items is not null"), "sets")
 
 
 def _classes(sets: DataFrame, ws: Workspace) -> tuple[DataFrame, DataFrame]:
     """``members`` (id, family, class_id, copies) of the classes of equal sets, and the sets that stand for a class."""
-    keyed = sets.select("id", "family", F.xxhash64("items").alias("k1"), F.xxhash64(F.lit(1), "items").alias("k2"), F.size("items").alias("n"))
+    keyed = sets.select("id", "number", "family", F.xxhash64("items").alias("k1"), F.xxhash64(F.lit(1), "items").alias("k2"), F.size("items").alias("n"))
     keyed = ws.table(keyed, "keys")
     classes = ws.table(keyed.groupBy(*_KEYS).agg(F.min("id").alias("class_id"), F.count("*").alias("copies")), "classes")
     several = attach(keyed, classes.filter("copies > 1"), _KEYS, "copies").select("id", "family", "class_id", "copies")
     single = classes.filter("copies = 1").select(F.col("class_id").alias("id"), "family", "class_id", "copies")
     members = ws.table(several.unionByName(single), "members")
-    # a table of its own, so that its size is known and a small one is broadcast instead of shuffling the sets
-    further = ws.table(members.filter("id <> class_id").select("id"), "further")
+    # a table of its own, and of numbers, so that its size is known and a small one is broadcast instead of shuffling the sets
+    further = ws.table(keyed.join(members.filter("id <> class_id").select("id"), "id", "left_semi").select("number"), "further")
     ws.drop(keyed, classes)
-    return members, sets.join(further, "id", "left_anti")
+    return members, sets.join(further, "number", "left_anti")
 
 
 def _numbers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -81,38 +83,44 @@ def _facts(sets: DataFrame, ws: Workspace) -> tuple[DataFrame, Broadcast]:
 
 
 def _prefixes(sets: DataFrame, sent, threshold: float) -> DataFrame:
-    """``(key, side, family, id, n, pos)``: the rarest n - ceil(threshold * n) + 1 items of each set with their places, hot ones split."""
+    """``(key, side, id, n, pos, *FOLDED)``: the rarest n - ceil(threshold * n) + 1 items of each set with their places, hot ones split.
+
+    The family is in the key, so sets of two families meet only where hashes collide.
+    """
     id_type = sets.schema["id"].dataType.simpleString()
-    block_rows = sketch.BLOCK_ROWS
+    block_rows, names = sketch.BLOCK_ROWS, ["key", "side", "id", "n", "pos", *sketch.FOLDED]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = sent.value
         for batch in batches:
-            offsets, hashes = _numbers(batch.column(2))
+            offsets, hashes = _numbers(batch.column(1))
             sizes = np.diff(offsets)
+            folded = sketch.folded(sketch.parity(offsets, hashes))
             row = np.repeat(np.arange(len(sizes)), sizes)
             rank = seen.rank(hashes)
             order = np.lexsort((hashes, rank, row))
             place = np.arange(len(order)) - np.repeat(offsets[:-1], sizes)
             keep = place < np.repeat(sizes - np.ceil(threshold * sizes - _EPS).astype(np.int64) + 1, sizes)
             row, place, order = row[keep], place[keep], order[keep]
-            own = np.asarray(batch.column(3))
-            at, key, side = sketch.split_within(hashes[order].view(np.int64), own[row].view(np.uint64), seen.blocks(rank[order], block_rows))
-            take = pa.array(row[at])
+            own, family = (np.asarray(batch.column(c)).view(np.uint64) for c in (2, 3))
+            keys = sketch.mix(hashes[order] ^ sketch.mix(family)[row])
+            at, key, side = sketch.split_within(keys.view(np.int64), own[row], seen.blocks(rank[order], block_rows))
+            row = row[at]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key), pa.array(side.astype(np.int8)), batch.column(1).take(take), batch.column(0).take(take), pa.array(sizes[row[at]].astype(np.int32)), pa.array(place[at].astype(np.int32))],
-                names=["key", "side", "family", "id", "n", "pos"],
+                [pa.array(key), pa.array(side.astype(np.int8)), batch.column(0).take(pa.array(row)), pa.array(sizes[row].astype(np.int32)), pa.array(place[at].astype(np.int32)), *(pa.array(np.ascontiguousarray(b)) for b in folded[row].T)],
+                names=names,
             )
 
-    rows = sets.select("id", "family", "items", F.xxhash64("id").alias("own"))
-    return rows.mapInArrow(cut, f"key long, side tinyint, family string, id {id_type}, n int, pos int")
+    rows = sets.select("id", "items", F.xxhash64("id").alias("own"), F.xxhash64("family").alias("family"))
+    return rows.mapInArrow(cut, f"key long, side tinyint, id {id_type}, n int, pos int, " + ", ".join(f"{w} long" for w in sketch.FOLDED))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: float | Column) -> DataFrame:
-    left = sets.select(F.col("id").alias("a"), F.col("family").alias("family"), F.col("items").alias("left"))
-    right = sets.select(F.col("id").alias("b"), F.col("items").alias("right"))
-    both = pairs.join(left, "a").join(right, "b").withColumn("similarity", jaccard(F.col("left"), F.col("right")))
-    return both.filter(F.col("similarity") >= threshold - _EPS).select("a", "b", "family", "similarity")
+    """Links between ids from ``pairs`` of the numbers of ``sets``; pairs of two families are left out."""
+    left = sets.select(F.col("number").alias("a"), F.col("id").alias("x"), F.col("family").alias("family"), F.col("items").alias("left"))
+    right = sets.select(F.col("number").alias("b"), F.col("id").alias("y"), F.col("family").alias("other"), F.col("items").alias("right"))
+    both = pairs.join(left, "a").join(right, "b").filter("family = other and x <> y").withColumn("similarity", jaccard(F.col("left"), F.col("right")))
+    return both.filter(F.col("similarity") >= threshold - _EPS).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "family", "similarity")
 
 
 def similar_classes(sets: DataFrame, threshold: float, verify: Column | None = None, ws: Workspace | None = None) -> tuple[DataFrame, DataFrame]:
@@ -123,16 +131,28 @@ def similar_classes(sets: DataFrame, threshold: float, verify: Column | None = N
     Items are hashed to 64 bits (arrays of longs are taken as they are) and ordered by how often they occur, the
     rarest first, for which a sketch will do: any order is right. Two sets that reach the threshold share one of their first
     n - ceil(threshold * n) + 1 items at places that leave room for the rest, so only those are joined; what they give is
-    verified on whole sets. An item that many sets may have is split into blocks. ``verify`` is a stricter threshold
+    verified on whole sets. Parity bits rule most pairs out inside that join, so few are shuffled. An item that many sets may have is split into blocks. ``verify`` is a stricter threshold
     for some rows. Rows with a null family, id or set match nothing.
     """
     ws = ws or Workspace(sets.sparkSession)
     written = _written(sets, ws)
     members, reps = _classes(written, ws)
     reps = reps.filter("size(items) > 0")
-    facts, seen = _facts(reps, ws)
-    prefix = _prefixes(reps, seen, threshold)
-    left, right = prefix.toDF("key", "sa", "family", "a", "na", "i"), prefix.toDF("key", "sb", "family", "b", "nb", "j")
+    numbered = reps.select(F.col("number").alias("id"), "family", "items")
+    facts, seen = _facts(numbered, ws)
+    pairs = _meeting(_prefixes(numbered, seen, threshold), threshold).groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("need").alias("need")).filter("shared >= need").select("a", "b")
+    candidates = ws.table(sketch.by_parity(pairs, facts.filter("chunk is null"), threshold), "candidates")
+    links = ws.table(_verified(candidates, reps, F.lit(threshold) if verify is None else verify), "links")
+    ws.drop(written, facts, candidates)
+    return members, links
+
+
+def _meeting(prefix: DataFrame, threshold: float) -> DataFrame:
+    """``(a, b, need)`` for each item that the prefixes of two sets share: how many such items they must share to reach the threshold.
+
+    Pairs that lengths, places or folded parity bits rule out are left out here, before any pair is shuffled.
+    """
+    left, right = (prefix.toDF("key", f"s{x}", x, f"n{x}", place, *(f"{x}{w}" for w in sketch.FOLDED)) for x, place in (("a", "i"), ("b", "j")))
     na, nb, i, j = (F.col(c) for c in ("na", "nb", "i", "j"))
     required = F.ceil((na + nb) * (threshold / (1 + threshold)) - _EPS)
     near = (F.least(na, nb) >= F.greatest(na, nb) * threshold - _EPS) & (F.least(i, j) + F.least(na - i, nb - j) >= required)
@@ -140,12 +160,8 @@ def similar_classes(sets: DataFrame, threshold: float, verify: Column | None = N
     # what two prefixes don't share must lie in the rest of one of them
     rest = lambda n: F.ceil(n * threshold - _EPS) - 1
     need = F.greatest(F.lit(1), required - F.greatest(rest(na), rest(nb))).cast("int")
-    hits = left.join(right, ["family", "key"]).filter((F.col("a") < F.col("b")) & near & meet).select("a", "b", need.alias("need"))
-    pairs = hits.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("need").alias("need")).filter("shared >= need").select("a", "b")
-    candidates = ws.table(sketch.by_parity(pairs, facts.filter("chunk is null"), threshold), "candidates")
-    links = ws.table(_verified(candidates, reps, F.lit(threshold) if verify is None else verify), "links")
-    ws.drop(written, facts, candidates)
-    return members, links
+    alike = sketch.flipped(sketch.FOLDED) <= sketch.most_flipped(na + nb, threshold)
+    return left.join(right, "key").filter((F.col("a") < F.col("b")) & near & meet & alike).select("a", "b", need.alias("need"))
 
 
 def chained(members: DataFrame, links: DataFrame) -> DataFrame:
@@ -252,7 +268,7 @@ def lsh_classes(sets: DataFrame, threshold: float, verify: Column | None = None,
     written = _written(sets, ws)
     members, reps = _classes(written, ws)
     reps = reps.filter("size(items) > 0")
-    bands = ws.table(minhash_bands(reps, threshold), "bands")
+    bands = ws.table(minhash_bands(reps.select(F.col("number").alias("id"), "family", "items"), threshold), "bands")
     candidates = ws.table(bucket_pairs(bands, ws), "candidates")
     links = ws.table(_verified(candidates, reps, F.lit(threshold) if verify is None else verify), "links")
     ws.drop(written, bands, candidates)

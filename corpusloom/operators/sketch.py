@@ -8,7 +8,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Counters of a frequency sketch: some for every row within these bounds (2^20 to 2^22). Executors get one byte for each counter.
@@ -20,6 +20,8 @@ BLOCK_ROWS = 8192
 #: Longs of parity bits of a set.
 PARITY_WORDS = 8
 PARITY = [f"w{i}" for i in range(PARITY_WORDS)]
+#: Longs of parity bits that go with each row of a join.
+FOLDED = ["u0", "u1"]
 CHUNKS = 64
 SCHEMA = "chunk int, cells binary"
 _STEPS = 8  # of the logarithmic scale to a doubling
@@ -121,12 +123,25 @@ def parity(offsets: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return np.packbits(odd).view(np.int64).reshape(len(sizes), PARITY_WORDS)
 
 
+def folded(bits: np.ndarray) -> np.ndarray:
+    """FOLDED longs from all words of parity bits: each bit is the parity of several of theirs, so no more of them differ."""
+    return np.stack([np.bitwise_xor.reduce(bits[:, i :: len(FOLDED)], axis=1) for i in range(len(FOLDED))], axis=1)
+
+
+def flipped(words: list[str]) -> Column:
+    """How many parity bits of a and b differ in these words."""
+    return reduce(lambda x, y: x + y, [F.bit_count(F.col(f"a{w}").bitwiseXOR(F.col(f"b{w}"))) for w in words])
+
+
+def most_flipped(both: Column, threshold: float) -> Column:
+    """In how many items two sets of ``both`` items together may differ at a similarity of ``threshold``, and so in how many parity bits."""
+    return F.floor(both * ((1 - threshold) / (1 + threshold)) + 1e-9)
+
+
 def by_parity(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """The pairs ``(a, b)`` of sets ``(id, n, *PARITY)`` that their parity bits don't rule out: sets that differ in d items differ in at most d bits."""
     side = lambda x: sets.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), *(F.col(w).alias(f"{x}{w}") for w in PARITY))
-    flipped = reduce(lambda x, y: x + y, [F.bit_count(F.col(f"a{w}").bitwiseXOR(F.col(f"b{w}"))) for w in PARITY])
-    d = F.floor((F.col("n_a") + F.col("n_b")) * ((1 - threshold) / (1 + threshold)) + 1e-9)
-    return pairs.join(side("a"), "a").join(side("b"), "b").filter(flipped <= d).select("a", "b")
+    return pairs.join(side("a"), "a").join(side("b"), "b").filter(flipped(PARITY) <= most_flipped(F.col("n_a") + F.col("n_b"), threshold)).select("a", "b")
 
 
 def split_within(keys: np.ndarray, ids: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -73,8 +73,10 @@ def curate(rows: DataFrame, config: Curation = Curation(), ws: Workspace | None
     components = ws.table(connected_components(similarity.chained(members, links), "a", "b", ws), "components")
     marked = ws.table(retention.keep_best(kept, components, config.keep_per_family, config.includes, ws), "marked")
     near = ws.table(marked.filter("reason is not null").select("id", "canonical", "reason"), "near")
+    ws.drop(kept, members, links, components, marked)
     gone.append(_compared(near, seen.select("id", "name", "family_tag", F.col("shingles").alias("items")), ws))
     standing = ws.table(seen.drop("shingles").join(near.select("id"), "id", "left_anti"), "standing")
+    ws.drop(seen, near)
 
     logger.info("structural duplicates")
     best = standing.withColumn("key", exact.quality_key()).groupBy("fp_hash").agg(F.min("key").alias("key"), F.count("*").alias("n"))
@@ -83,6 +85,7 @@ def curate(rows: DataFrame, config: Curation = Curation(), ws: Workspace | None
     same = ws.table(same.select("id", "canonical", F.lit("structural_duplicate_exact").alias("reason"), "name", "canonical_name"), "same")
     gone.append(same)
     single = ws.table(standing.join(same.select("id"), "id", "left_anti"), "single")
+    ws.drop(standing, best)
     bags = single.select("id", F.lit("all").alias("family"), F.col("bag").alias("items")).filter("size(items) > 0")
     edges = ws.table(similarity.all_pairs(*similarity.similar_classes(bags, config.structural, ws=ws)), "structural")
     removed = ws.table(retention.structural_greedy(_ranked(single.join(edges.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi"), ws), edges, ws), "greedy")
@@ -93,7 +96,9 @@ def curate(rows: DataFrame, config: Curation = Curation(), ws: Workspace | None
     tombstones = ws.table(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), gone, empty), "tombstones")
 
     logger.info("prefixes and diversity")
-    final = _rescued(ws.table(single.join(removed.select("id"), "id", "left_anti").select("id", "reason"), "final"), tombstones, records, features, config, ws)
+    final = ws.table(single.join(removed.select("id"), "id", "left_anti").select("id", "reason"), "final")
+    ws.drop(groups, *gone, same, single, edges, removed)
+    final = _rescued(final, tombstones, records, features, config, ws)
     out = ws.table(final.join(full, "id"), "out")
     splits = family_split(out.select("id", "code_hash").join(features.select("code_hash", "fp_hash"), "code_hash"), "id", "fp_hash")
     return {"rows": chosen, "records": full, "kept": out, "tombstones": tombstones, "splits": splits}
@@ -103,8 +108,12 @@ def _compared(near: DataFrame, sets: DataFrame, ws: Workspace) -> DataFrame:
     """Tombstones for ``near`` (id, canonical, reason) with names, family and the similarity to the canonical record."""
     counts = near.groupBy("canonical").agg(F.count("*").alias("n"))
     kept = ws.table(counts.join(sets.select(F.col("id").alias("canonical"), F.col("name").alias("canonical_name"), F.col("items").alias("right")), "canonical"), "canonical")
-    both = attach(ws.table(near.join(sets, "id"), "removed"), kept, ["canonical"], "n")
-    return both.select("id", "canonical", "reason", "name", "canonical_name", F.round(similarity.jaccard(F.col("items"), F.col("right")), 3).alias("jaccard"), "family_tag")
+    removed = ws.table(near.join(sets, "id"), "removed")
+    both = attach(removed, kept, ["canonical"], "n")
+    both = both.select("id", "canonical", "reason", "name", "canonical_name", F.round(similarity.jaccard(F.col("items"), F.col("right")), 3).alias("jaccard"), "family_tag")
+    out = ws.table(both, "lexical")
+    ws.drop(kept, removed)
+    return out
 
 
 def _ranked(rows: DataFrame, ws: Workspace) -> DataFrame:
@@ -135,11 +144,12 @@ def _rescued(final: DataFrame, tombstones: DataFrame, records: DataFrame, featur
         pool = best.join(known, "code_hash", "left_anti").select("code_hash", "m.*")
         standing = final.select("id").join(same, "id").select("code_hash", "lexical", "structural")
         with_sets = lambda d: ws.table(d.join(features.select("code_hash", "shingles", "bag", "fp_hash"), "code_hash"), "compared")
-        standing, pool = with_sets(standing), with_sets(pool)
+        standing, pool = compared = with_sets(standing), with_sets(pool)
         if not rescue and config.topup_structural < 1:
             # equal in structure to one that stands; where the limit is below 1, that rules it out
             pool = ws.table(pool.join(standing.filter("size(bag) > 0").select("fp_hash").distinct(), "fp_hash", "left_anti"), "pool")
         accepted = retention.accept_diverse(pool, standing, need)
+        ws.drop(*compared, pool)
         logger.info("%s: %d of %d for prefix %s", reason, len(accepted), need, prefix)
         if accepted:
             more = rows_of(final.sparkSession, accepted, reason)

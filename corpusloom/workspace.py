@@ -6,11 +6,15 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Spark's setting by which a query's shuffle files are removed when it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _local: list[str] = []
 _shipped: set[str] = set()
 
@@ -85,11 +89,23 @@ class Workspace:
         """``df`` as a written table. A lost executor costs only the rows it had not yet written."""
         self._n += 1
         path = f"{self.root}/{self._n:03d}-{name}"
-        df.write.option("compression", "zstd").parquet(path)
+        with self._shuffles_removed():
+            df.write.option("compression", "zstd").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._corpusloom_path = path
         return out
 
+    @contextmanager
+    def _shuffles_removed(self) -> Iterator[None]:
+        """What is written here is not shuffled again, so its shuffle files go at once and not when the driver collects its garbage."""
+        conf = self.spark.conf
+        before = conf.get(_CLEANUP, None)
+        conf.set(_CLEANUP, "true")
+        try:
+            yield
+        finally:
+            conf.unset(_CLEANUP) if before is None else conf.set(_CLEANUP, before)
+
     def drop(self, *tables: DataFrame) -> None:
         for df in tables:
             path = getattr(df, "_corpusloom_path", None)

@@ -4,6 +4,8 @@ import collections
 import itertools
 import json
 import random
+import time
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -72,6 +74,23 @@ def test_similar_classes_against_brute_force(spark, monkeypatch):
     assert all(d.count() == 0 for d in similarity.similar_classes(df.limit(0), 0.5))
 
 
+def test_pairs_are_ruled_out_before_they_are_shuffled(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = [(f"r{i:03d}", "f", [str(x) for x in rng.sample(range(100), 60)]) for i in range(300)]
+    rows += [("s0", "f", [*rows[0][2][1:], "new"]), ("s1", "g", [*rows[1][2][1:], "new"])]
+    whole, seen = similarity._meeting, []
+
+    def meeting(prefix, threshold):
+        out = whole(prefix, threshold)
+        seen.append((prefix.groupBy("key").count().selectExpr("sum(count * (count - 1) div 2)").first()[0], out.count()))
+        return out
+
+    monkeypatch.setattr(similarity, "_meeting", meeting)
+    _, links = similarity.similar_classes(spark.createDataFrame(rows, "id string, family string, items array<string>"), 0.9)
+    assert [(r.a, r.b, r.family) for r in links.collect()] == [("r000", "s0", "f")]
+    assert seen[0][0] > 5000 and seen[0][1] < 100
+
+
 def test_lsh_gives_all_pairs_of_a_bucket(spark, monkeypatch):
     # near copies of one set, some of them equal, and empty sets; blocks are smaller than a bucket
     monkeypatch.setattr(similarity.sketch, "BLOCK_ROWS", 3)
@@ -324,6 +343,36 @@ def test_file_names_clash(spark):
     assert sorted(r.file_name for r in sinks.file_names(df).collect()) == ["model__b.py", "n__aaaaaaaaaaaa.py", "n__aaaaaaaaaaaa_1.py"]
 
 
+def test_workspace_keeps_no_shuffle_files(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        found = manager.getAllFiles()
+        return {name for i in range(found.size()) if (name := found.apply(i).getName()).startswith("shuffle_")}
+
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = files(), spark.conf.get(setting)
+    with Workspace(spark) as ws:
+        table = ws.table(spark.range(10_000).groupBy((F.col("id") % 97).alias("k")).count())
+        until = time.time() + 10
+        while files() - before and time.time() < until:
+            time.sleep(0.1)
+        assert not files() - before and spark.conf.get(setting) == was
+        assert table.count() == 97
+
+
+def test_stage_one_keeps_only_tables_that_are_read(spark):
+    code = "import torch.nn as nn\nclass A(nn.Module):\n    def __init__(self):\n        super().__init__()\n"
+    rows = [(i, f"ResNet{i}", code + "".join(f"        self.l{j} = nn.Conv2d({2 ** ((i + j) % 9)}, 8, kernel_size={j % 5 + i % 3})\n" for j in range(i + 3)), 0.1 * i) for i in range(8)]
+    with Workspace(spark) as ws:
+        got = curate.curate(spark.createDataFrame(rows, ROWS), curate.Curation(includes=["ResNet"], topup_prefixes=["ResNet"]), ws)
+        left = {p.name.split("-")[1] for p in Path(ws.root.removeprefix("file:")).iterdir()}
+        assert {"records", "features", "out", "tombstones"} <= left
+        assert not left & {"seen", "standing", "single", "compared", "pool", "removed", "canonical", "sets", "facts", "candidates"}
+        assert got["kept"].count() and got["splits"].count() == got["kept"].count()
+        assert got["tombstones"].count() >= 0
+
+
 def test_workspace_follows_the_session(spark, tmp_path):
     table = Workspace(spark).table(spark.range(3), "x")
     assert table.count() == 3
