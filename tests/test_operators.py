@@ -361,11 +361,12 @@ def test_workspace_keeps_no_shuffle_files(spark):
         assert table.count() == 97
 
 
-def test_stage_one_keeps_only_tables_that_are_read(spark):
+@pytest.mark.parametrize("includes", [["ResNet"], []])
+def test_stage_one_keeps_only_tables_that_are_read(spark, includes):
     code = "import torch.nn as nn\nclass A(nn.Module):\n    def __init__(self):\n        super().__init__()\n"
     rows = [(i, f"ResNet{i}", code + "".join(f"        self.l{j} = nn.Conv2d({2 ** ((i + j) % 9)}, 8, kernel_size={j % 5 + i % 3})\n" for j in range(i + 3)), 0.1 * i) for i in range(8)]
     with Workspace(spark) as ws:
-        got = curate.curate(spark.createDataFrame(rows, ROWS), curate.Curation(includes=["ResNet"], topup_prefixes=["ResNet"]), ws)
+        got = curate.curate(spark.createDataFrame(rows, ROWS), curate.Curation(includes=includes, topup_prefixes=includes), ws)
         left = {p.name.split("-")[1] for p in Path(ws.root.removeprefix("file:")).iterdir()}
         assert {"records", "features", "out", "tombstones"} <= left
         assert not left & {"seen", "standing", "single", "compared", "pool", "removed", "canonical", "sets", "facts", "candidates"}
