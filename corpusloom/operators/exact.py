@@ -41,12 +41,15 @@ def exact_groups(records: DataFrame, prefer_order: list[str], ws: Workspace | No
 
     The canonical record of a code is the least by prefix rank and quality. It is a minimum with map-side
     combining, so one code that a third of all rows share is no hot group, and what comes back is spread.
+    To drop the result is to drop the table of canonical records that it reads.
     """
     ws = ws or Workspace(records.sparkSession)
     slim = records.withColumn("key", quality_key(names.prefix_rank(F.col("name"), prefer_order))).select("id", "name", "code_hash", "row_idx", "key")
     best = slim.groupBy("code_hash").agg(F.min("key").alias("key"), F.count("*").alias("copies"), F.min("row_idx").alias("first_row"))
     groups = ws.table(best.select("code_hash", F.col("key.best_id").alias("canonical"), F.col("key.by_name").alias("canonical_name"), "copies", "first_row"), "exact")
-    return attach(slim.select("id", "name", "code_hash"), groups, ["code_hash"], "copies")
+    out = attach(slim.select("id", "name", "code_hash"), groups, ["code_hash"], "copies")
+    out._corpusloom_path = groups._corpusloom_path
+    return out
 
 
 def kept(groups: DataFrame) -> DataFrame:

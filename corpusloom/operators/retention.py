@@ -66,15 +66,22 @@ def structural_greedy(records: DataFrame, edges: DataFrame, ws: Workspace | None
     id_type = edges.schema["a"].dataType.simpleString()
     schema = f"id {id_type}, canonical {id_type}, similarity double"
 
-    def scan(group: pd.DataFrame) -> pd.DataFrame:
-        gone: dict = {}
-        for a, b, qa, qb, s in group.sort_values(["oa", "ob"])[["a", "b", "qa", "qb", "similarity"]].itertuples(index=False):
-            if a not in gone and b not in gone:
-                worse, better = (a, b) if qb < qa else (b, a)
-                gone[worse] = (better, s)
-        return pd.DataFrame([(w, *v) for w, v in gone.items()], columns=["id", "canonical", "similarity"])
-
-    scanned = few.groupBy("component").applyInPandas(scan, schema)
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # a component's pairs come one after the other, maybe over several batches
+        gone, at = set(), None
+        for batch in batches:
+            out = []
+            for component, a, b, qa, qb, s in batch.itertuples(index=False, name=None):
+                if component != at:
+                    gone, at = set(), component
+                if a not in gone and b not in gone:
+                    worse, better = (a, b) if qb < qa else (b, a)
+                    gone.add(worse)
+                    out.append((worse, better, s))
+            yield pd.DataFrame(out, columns=["id", "canonical", "similarity"])
+
+    in_order = few.repartition("component").sortWithinPartitions("component", "oa", "ob").select("component", "a", "b", "qa", "qb", "similarity")
+    scanned = in_order.mapInPandas(scan, schema)
     if not sizes.filter(F.col("n") > SCAN_PAIRS).limit(1).count():
         return scanned
     many = sized.join(sizes.filter(F.col("n") > SCAN_PAIRS).select("component"), "component", "left_semi").drop("component")

@@ -6,6 +6,7 @@ Equal sets of one family are one class, so results are links between classes and
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,8 @@ _EPS = 1e-9
 _KEYS = ["family", "k1", "k2", "n"]
 #: Signature length, and the probability with which a pair just at the threshold is to be retrieved.
 PERMUTATIONS, RECALL = 256, 0.99
+#: Rows of prefixes that are joined at once, as far as so many slices of all keys allow.
+SLICE_ROWS, MOST_SLICES = 2_000_000, 8
 
 
 def jaccard(a: Column, b: Column) -> Column:
@@ -140,13 +143,27 @@ def similar_classes(sets: DataFrame, threshold: float, verify: Column | None = N
     reps = reps.filter("size(items) > 0")
     numbered = reps.select(F.col("number").alias("id"), "family", "items")
     facts, seen = _facts(numbered, ws)
-    pairs = _meeting(_prefixes(numbered, seen, threshold), threshold).groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("need").alias("need")).filter("shared >= need").select("a", "b")
+    met = _met(ws.table(_prefixes(numbered, seen, threshold), "prefixes"), threshold, ws)
+    pairs = reduce(DataFrame.unionAll, met).groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.first("need").alias("need")).filter("shared >= need").select("a", "b")
     candidates = ws.table(sketch.by_parity(pairs, facts.filter("chunk is null"), threshold), "candidates")
     links = ws.table(_verified(candidates, reps, F.lit(threshold) if verify is None else verify), "links")
-    ws.drop(written, facts, candidates)
+    ws.drop(written, facts, candidates, *met)
     return members, links
 
 
+def _met(prefix: DataFrame, threshold: float, ws: Workspace) -> list[DataFrame]:
+    """Tables ``(a, b, shared, need)`` of pairs that meet, one for each slice of the keys of the written table ``prefix``, which is dropped.
+
+    Rows of one slice after the other are shuffled, so the disk holds the shuffle of one slice at a time; each key is in one of them.
+    """
+    n = min(MOST_SLICES, -(-prefix.count() // SLICE_ROWS)) or 1
+    slices = [prefix.filter(F.pmod(F.xxhash64("key"), F.lit(n)) == i) for i in range(n)] if n > 1 else [prefix]
+    counted = (_meeting(s, threshold).groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("need").alias("need")) for s in slices)
+    out = [ws.table(c, "met") for c in counted]
+    ws.drop(prefix)
+    return out
+
+
 def _meeting(prefix: DataFrame, threshold: float) -> DataFrame:
     """``(a, b, need)`` for each item that the prefixes of two sets share: how many such items they must share to reach the threshold.
 

@@ -51,21 +51,27 @@ def curate(rows: DataFrame, config: Curation = Curation(), ws: Workspace | None
     """``rows`` (those of the included prefixes), ``records``, ``kept`` (with reason), ``tombstones`` and ``splits`` for rows
     ``(row_idx, name, code, accuracy)``.
 
-    Code is read for features once for each distinct text, and else joined only to what is kept.
+    Code is read for features once for each distinct text, and else joined only to what is kept. It isn't written: ``rows`` are read
+    anew for it, so where their values may differ from one reading to the next they are written as they are.
     """
     ws = ws or Workspace(rows.sparkSession)
+    if not rows._jdf.queryExecution().analyzed().deterministic():
+        rows = ws.table(rows, "rows")
     chosen = rows.filter(names.has_prefix(F.col("name"), config.includes)) if config.includes else rows
     logger.info("exact duplicates")
-    full = ws.table(exact.make_records(chosen), "records")
-    records = full.drop("code")
-    groups = ws.table(exact.exact_groups(records, config.preferred, ws), "exact")
+    full = exact.make_records(chosen)
+    records = ws.table(full.drop("code"), "records")
+    canonical = exact.exact_groups(records, config.preferred, ws)
+    groups = ws.table(canonical, "exact")
     kept = ws.table(exact.kept(groups).join(records, "id"), "kept")
-    gone = [exact.tombstones(groups)]
+    gone = [ws.table(exact.tombstones(groups), "copies")]
+    ws.drop(canonical, groups)
 
     logger.info("lexical near-duplicates")
-    one = kept.select("id").join(full.select("id", "code_hash", "code"), "id")
-    features = ws.table(with_features(one, "code_hash", "code", config.shingle).withColumnRenamed("id", "code_hash"), "features")
-    seen = ws.table(kept.join(features, "code_hash"), "seen")
+    # one row for each distinct text, with all that is known of its record
+    seen = features = ws.table(with_features(kept.join(full.select("id", "code"), "id"), "id", "code", config.shingle, kept.columns[1:]), "features")
+    ws.drop(kept)
+    kept = seen.drop("n_tokens", "shingles", "bag", "fp_hash")
     stricter = F.when(F.col("family").startswith("fractal"), config.lexical_fractal).otherwise(config.lexical)
     retrieve = similarity.lsh_classes if config.retrieval == "lsh" else similarity.similar_classes
     sets = seen.select("id", F.col("family_tag").alias("family"), F.col("shingles").alias("items"))
@@ -73,10 +79,10 @@ def curate(rows: DataFrame, config: Curation = Curation(), ws: Workspace | None
     components = ws.table(connected_components(similarity.chained(members, links), "a", "b", ws), "components")
     marked = ws.table(retention.keep_best(kept, components, config.keep_per_family, config.includes, ws), "marked")
     near = ws.table(marked.filter("reason is not null").select("id", "canonical", "reason"), "near")
-    ws.drop(kept, members, links, components, marked)
+    ws.drop(members, links, components, marked)
     gone.append(_compared(near, seen.select("id", "name", "family_tag", F.col("shingles").alias("items")), ws))
-    standing = ws.table(seen.drop("shingles").join(near.select("id"), "id", "left_anti"), "standing")
-    ws.drop(seen, near)
+    standing = ws.table(seen.drop("shingles", "code_hash").join(near.select("id"), "id", "left_anti"), "standing")
+    ws.drop(near)
 
     logger.info("structural duplicates")
     best = standing.withColumn("key", exact.quality_key()).groupBy("fp_hash").agg(F.min("key").alias("key"), F.count("*").alias("n"))
@@ -97,7 +103,7 @@ def curate(rows: DataFrame, config: Curation = Curation(), ws: Workspace | None
 
     logger.info("prefixes and diversity")
     final = ws.table(single.join(removed.select("id"), "id", "left_anti").select("id", "reason"), "final")
-    ws.drop(groups, *gone, same, single, edges, removed)
+    ws.drop(*gone, same, single, edges, removed)
     final = _rescued(final, tombstones, records, features, config, ws)
     out = ws.table(final.join(full, "id"), "out")
     splits = family_split(out.select("id", "code_hash").join(features.select("code_hash", "fp_hash"), "code_hash"), "id", "fp_hash")

@@ -374,6 +374,45 @@ def test_stage_one_keeps_only_tables_that_are_read(spark, includes):
         assert got["tombstones"].count() >= 0
 
 
+def test_stage_one_writes_no_code_that_can_be_read_anew(spark, monkeypatch):
+    plain, written = Workspace.table, []
+
+    class Enough(Exception):
+        pass
+
+    def table(self, df, name="t"):
+        written.append((name, "code" in df.columns))
+        if name == "sets":
+            raise Enough
+        return plain(self, df, name)
+
+    monkeypatch.setattr(Workspace, "table", table)
+    rows = spark.createDataFrame([("A", "x = f()\n", 0.5), ("B", "x = f()\n", 0.6)], "name string, code string, accuracy double")
+    # another reading could number rows anew by the second
+    for row_idx, want in ((F.col("accuracy").cast("long"), []), (F.monotonically_increasing_id(), ["rows"])):
+        written.clear()
+        with pytest.raises(Enough):
+            curate.curate(rows.withColumn("row_idx", row_idx))
+        assert [n for n, code in written if code] == want and "features" in dict(written)
+
+
+def test_prefixes_are_joined_slice_by_slice(spark, monkeypatch):
+    rng = random.Random(5)
+    bases = [[f"t{rng.randrange(300)}" for _ in range(60)] for _ in range(6)]
+    data = [(i, "f", bases[i % 6][: 60 - i // 6]) for i in range(48)]
+    links = lambda: sorted(tuple(r) for r in similarity.similar_classes(spark.createDataFrame(data, SETS), 0.9)[1].collect())
+    want, whole, rows = links(), similarity._meeting, []
+
+    def meeting(prefix, threshold):
+        rows.append(prefix.count())
+        return whole(prefix, threshold)
+
+    monkeypatch.setattr(similarity, "_meeting", meeting)
+    monkeypatch.setattr(similarity, "SLICE_ROWS", 100)
+    assert links() == want and len(want) > 20
+    assert 2 < len(rows) <= similarity.MOST_SLICES and max(rows) < sum(rows) / 2
+
+
 def test_workspace_follows_the_session(spark, tmp_path):
     table = Workspace(spark).table(spark.range(3), "x")
     assert table.count() == 3
